@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reads", "joins", "merges")
+MODULES = ("reads", "joins", "merges", "windows", "calendars", "aggregates", "composites")
 
 
 def load_all() -> None:

@@ -97,9 +97,10 @@ def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> Dat
 def rsi_inputs(df: DataFrame, close: str = "close", key: str = "company_id") -> DataFrame:
     """Add ``_up`` and ``_down``, the gains and losses from row to row."""
     delta = F.col(close) - F.lag(close, 1).over(Window.partitionBy(key).orderBy("_b", "_i"))
+    d = F.col("_d")
     return (df.withColumn("_d", delta)
-            .withColumn("_up", F.greatest("_d", F.lit(0.0)))
-            .withColumn("_down", F.greatest(-F.col("_d"), F.lit(0.0))).drop("_d"))
+            .withColumn("_up", F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))))
+            .withColumn("_down", F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0)))).drop("_d"))
 
 
 def rsi_from(up: str, down: str) -> Column:

@@ -89,14 +89,6 @@ def pct_change(x: str | Column, k: int, w: WindowSpec, shift: int = 0) -> Column
     return ratio(known(shift), known(shift + k)) - 1.0
 
 
-def rsi_simple(close: str | Column, n: int, w: WindowSpec, prev: str) -> Column:
-    """RSI from rolling means; ``prev`` names the lagged close column."""
-    delta = _col(close) - F.col(prev)
-    up = rolling(F.avg, F.greatest(delta, F.lit(0.0)), n, w)
-    down = rolling(F.avg, F.greatest(-delta, F.lit(0.0)), n, w)
-    return 100.0 - 100.0 / (1.0 + ratio(up, down))
-
-
 def bollinger(close: str | Column, n: int, k: float, w: WindowSpec) -> tuple[Column, Column]:
     """Upper and lower band with the population deviation."""
     mid = rolling(F.avg, close, n, w)
