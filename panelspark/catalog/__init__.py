@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("reads", "joins", "merges", "windows", "calendars", "aggregates", "composites")
+MODULES = ("reads", "joins", "merges", "ingest", "aggregates", "windows", "calendars", "composites",
+           "news", "models", "streams")
 
 
 def load_all() -> None:

@@ -170,6 +170,66 @@ class Tables:
                                                                      F.lit(1).alias("seq"))
                 for c in self.macro_data.columns if c != "date"}
 
+    @cached_property
+    def unemployment_wide(self) -> DataFrame:
+        """Year rows with twelve text cells, as the landed table has them."""
+        day = F.col("o_orderdate").cast("date")
+        n = self.raw("orders").groupBy(F.year(day).alias("year")).agg(*[
+            F.count(F.when(F.month(day) == m, 1)).alias(f"n{m}") for m in range(1, 13)])
+        cells = [F.when(F.col(f"n{m}") == 0, "x").otherwise(F.concat(
+            F.floor(F.col(f"n{m}") / 10).cast("string"), F.lit(","), (F.col(f"n{m}") % 10).cast("string"))).alias(f"m{m}")
+            for m in range(1, 13)]
+        return n.select(F.col("year").cast("string").alias("year"), *cells)
+
+    @cached_property
+    def fx_documents(self) -> DataFrame:
+        """One JSON rate document per month and currency."""
+        row = F.concat(F.lit('{"no":"1","effectiveDate":"'), F.col("date").cast("string"), F.lit('","mid":'),
+                       F.floor("v").cast("string"), F.lit(".25}"))
+        both = self.macro_data.select("date", F.explode(F.array(
+            F.struct(F.lit("eur").alias("code"), F.col("exchange_rate_eur").alias("v")),
+            F.struct(F.lit("usd").alias("code"), F.col("exchange_rate_usd").alias("v")))).alias("c"))
+        both = both.select("date", "c.code", "c.v").where(F.col("v").isNotNull())
+        docs = both.groupBy("code", F.trunc("date", "month").alias("m")).agg(
+            F.array_join(F.array_sort(F.collect_list(row)), ",").alias("rates"))
+        return docs.select(F.concat(F.lit('{"table":"A","code":"'), "code", F.lit('","rates":['), "rates",
+                                    F.lit("]}")).alias("payload"))
+
+    @cached_property
+    def rates_documents(self) -> DataFrame:
+        """One XML document per year with dated groups of rate positions."""
+        m = self.macro_data.where(F.col("interest_rate").isNotNull())
+        group = F.concat(
+            F.lit('<pozycje obowiazuje_od="'), F.when(F.month("date") == 7, "brak").otherwise(F.col("date").cast("string")),
+            F.lit('"><pozycja id="ref" oprocentowanie="'), F.floor(F.col("interest_rate") / 1000).cast("string"),
+            F.lit(',5"/><pozycja id="lom" oprocentowanie="'), F.when(F.year("date") % 2 == 0, "n/a").otherwise("9,25"),
+            F.lit('"/></pozycje>'))
+        docs = m.groupBy(F.year("date").alias("y")).agg(F.array_join(F.array_sort(F.collect_list(group)), "").alias("g"))
+        return docs.select(F.concat(F.lit("<stopy>"), "g", F.lit("</stopy>")).alias("payload"))
+
+    @cached_property
+    def json_stat_documents(self) -> DataFrame:
+        """One JSON-stat document per company: quarter index map and value map."""
+        label = F.concat(F.year("date").cast("string"), F.lit("-Q"), F.quarter("date").cast("string"))
+        pos = ((F.year("date") - 1990) * 4 + F.quarter("date")).cast("string")
+        f = self.fundamentals.select(
+            "company_id", F.concat(F.lit('"'), label, F.lit('":'), pos).alias("ix"),
+            F.concat(F.lit('"'), pos, F.lit('":'), F.when(F.col("ebitda").isNull(), '"c"').otherwise(
+                F.floor("ebitda").cast("string"))).alias("val"))
+        docs = f.groupBy("company_id").agg(F.array_join(F.array_sort(F.collect_list("ix")), ",").alias("ix"),
+                                           F.array_join(F.array_sort(F.collect_list("val")), ",").alias("val"))
+        return docs.select("company_id", F.concat(
+            F.lit('{"dimension":{"time":{"category":{"index":{'), "ix", F.lit('}}}},"value":{'),
+            "val", F.lit("}}")).alias("payload"))
+
+    @cached_property
+    def article_pages(self) -> DataFrame:
+        """Raw pages with a publication date on most of them."""
+        meta = F.concat(F.lit('<meta property="article:published_time" content="2024-01-'),
+                        F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit('">'))
+        return self.raw("pages").select("page_id", "url", F.when(
+            F.contains(F.col("url"), F.lit("/fr/")), F.col("html")).otherwise(F.concat(meta, "html")).alias("html"))
+
     @cached_property
     def statement_cells(self) -> DataFrame:
         """Landed statement table: measure rows by quarter columns, as text cells.
@@ -181,10 +241,10 @@ class Tables:
         q = F.element_at(F.array(*[F.lit(x) for x in ("I", "II", "III", "IV")]), F.quarter("date"))
         label = F.concat_ws(" ", q, F.lit("Q"), F.year("date"))
         page = F.year("date") - 1990
-        heads = F.array(*[F.struct(F.lit(h).alias("header"), F.col(c).cast("decimal(18,2)").alias("v"))
+        heads = F.array(*[F.struct(F.lit(h).alias("header"), F.floor(c).alias("v"))
                           for h, c in STATEMENT_HEADERS.items()])
         cells = f.select("company_id", page.alias("page"), label.alias("kwartal"), F.explode(heads).alias("h"))
-        text = F.concat(F.replace(F.col("h.v").cast("string"), F.lit("."), F.lit(",")), F.lit("\u00a0"))
+        text = F.concat(F.col("h.v").cast("string"), F.lit(",5\u00a0"))
         return cells.select("company_id", "page", "kwartal", F.col("h.header").alias("header"),
                             text.alias("cell"))
 
@@ -280,10 +340,13 @@ CTE["selected_features"] = """
    FROM fundamentals JOIN supplier ON s_suppkey = company_id GROUP BY ALL))"""
 CTE["ticks"] = """
  SELECT CAST(user_id AS INT) AS company_id, ts, value AS price, 1 AS qty, event_id FROM events"""
+CTE["article_pages"] = """
+ SELECT page_id, url, CASE WHEN contains(url, '/fr/') THEN html ELSE concat('<meta property="article:published_time" content="2024-01-',
+  lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0'), '">', html) END AS html FROM pages"""
 CTE["statement_cells"] = """
  SELECT company_id, CAST(year(date) - 1990 AS INT) AS page,
   ['I', 'II', 'III', 'IV'][quarter(date)] || ' Q ' || year(date) AS kwartal, header,
-  replace(CAST(CAST(v AS DECIMAL(18,2)) AS VARCHAR), '.', ',') || chr(160) AS cell
+  CAST(CAST(floor(v) AS BIGINT) AS VARCHAR) || ',5' || chr(160) AS cell
  FROM (""" + " UNION ALL ".join(
     f"SELECT company_id, date, '{h}' AS header, {c} AS v FROM fundamentals" for h, c in STATEMENT_HEADERS.items()
 ) + ") WHERE true"
