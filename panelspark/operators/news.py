@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..session import is_small
+from ..session import is_small, spread
 from .joins import anti_existing
 
-#: Alias tables up to this size are matched by a broadcast text scan.
+#: Alias tables up to this size are inlined and tested against each text.
 SCAN_ALIASES = 256
 #: Tag tables up to this size are inlined; larger ones are cut into blocks.
 INLINE_TAGS = 1024
@@ -31,7 +31,7 @@ def alias_phrases(news: DataFrame, aliases: DataFrame, text: str = "text",
     pats = pats.where(F.col("_run") != "").distinct()
     lengths = pats.agg(F.array_sort(F.collect_set(
         F.size(F.split("_run", " ")))).alias("ks")).select("ks").scalar()
-    toks = news.select(F.col(id_col).alias("news_article_id"), tokens(F.lower(text)).alias("_t"),
+    toks = spread(news).select(F.col(id_col).alias("news_article_id"), tokens(F.lower(text)).alias("_t"),
                        lengths.alias("_ks"))
     last = F.size("_t")
     runs = F.array_distinct(F.flatten(F.transform("_ks", lambda k: F.when(
@@ -42,31 +42,51 @@ def alias_phrases(news: DataFrame, aliases: DataFrame, text: str = "text",
             .join(pats, "_run").select("news_article_id", "company_id").distinct())
 
 
+def _grams(word: Column, lengths: Column) -> Column:
+    """Distinct character runs of a word, of the given lengths."""
+    chars = F.split(word, "")
+    return F.array_distinct(F.flatten(F.transform(lengths, lambda k: F.when(
+        F.size(chars) >= k, F.transform(F.sequence(F.lit(1), F.size(chars) - k + 1),
+                                        lambda i: F.array_join(F.slice(chars, i, k), "")))
+        .otherwise(F.array().cast("array<string>")))))
+
+
 def alias_substrings(news: DataFrame, aliases: DataFrame, text: str = "text",
                      id_col: str = "id", scan_limit: int = SCAN_ALIASES) -> DataFrame:
     """(article, company) pairs where an alias occurs anywhere in the lower-case text.
 
     A small alias table (its size is checked) is inlined as an array and tested
-    against each text in place. A larger one meets the texts on its first three
-    letters, an equi join, and the full test follows.
+    against each text in place. For a larger one the longest blank-free piece of
+    each alias is looked up among the distinct words of all texts, by an equi
+    join on its first letters; texts then meet the words that hold a piece. An
+    alias of several pieces is tested on the whole text at the end, so the
+    result is exact.
     """
-    pats = aliases.select("company_id", F.lower("alias").alias("_a")).where(F.col("_a") != "").distinct()
-    docs = news.select(F.col(id_col).alias("news_article_id"), F.lower(text).alias("_text"))
+    pats = aliases.select("company_id", F.lower("alias").alias("_a")).where(F.trim("_a") != "").distinct()
+    docs = spread(news.select(F.col(id_col).alias("news_article_id"), F.lower(text).alias("_text")))
     if is_small(pats, scan_limit):
         table = pats.agg(F.collect_list(F.struct("company_id", "_a")).alias("v")).select("v").scalar()
         hits = F.array_distinct(F.transform(
             F.filter("_pats", lambda p: F.contains(F.col("_text"), p["_a"])), lambda p: p["company_id"]))
         return (docs.withColumn("_pats", table)
                 .select("news_article_id", F.explode(hits).alias("company_id")))
-    keyed = pats.withColumn("_g", F.substring("_a", 1, 3))
-    chars = F.split("_text", "")
-    grams = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.size(chars)),
-        lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)),
-                              lambda k: F.array_join(F.slice(chars, i, k), "")))))
-    return (docs.withColumn("_g", F.explode(grams)).join(keyed, "_g")
-            .where(F.contains(F.col("_text"), F.col("_a")))
-            .select("news_article_id", "company_id").distinct())
+    piece = F.array_max(F.transform(F.split("_a", " "), lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))["s"]
+    pats = pats.withColumn("_p", piece).withColumn("_g", F.substring("_p", 1, 3))
+    lengths = pats.agg(F.collect_set(F.length("_g")).alias("v")).select("v").scalar()
+    words = docs.select("news_article_id", F.explode(F.array_distinct(F.split("_text", " "))).alias("_w"))
+    many = F.contains(F.col("_a"), F.lit(" "))
+    holding = (words.select("_w").distinct().withColumn("_ks", lengths)
+               .select("_w", F.explode(_grams(F.col("_w"), F.col("_ks"))).alias("_g")).join(pats, "_g")
+               .where(F.contains(F.col("_w"), F.col("_p"))).groupBy("_w").agg(
+                   F.collect_set(F.when(~many, F.col("company_id"))).alias("_sure"),
+                   F.collect_set(F.when(many, F.struct("company_id", "_a"))).alias("_maybe")))
+    # One row per article and word; the aliases of a word travel as one array.
+    found = words.join(holding, "_w").groupBy("news_article_id").agg(
+        F.array_distinct(F.flatten(F.collect_set("_sure"))).alias("_sure"),
+        F.array_distinct(F.flatten(F.collect_set("_maybe"))).alias("_maybe"))
+    tested = F.transform(F.filter("_maybe", lambda p: F.contains(F.col("_text"), p["_a"])), lambda p: p["company_id"])
+    return (docs.join(found, "news_article_id")
+            .select("news_article_id", F.explode(F.array_distinct(F.concat("_sure", tested))).alias("company_id")))
 
 
 def _dot(x: Column, y: Column) -> Column:

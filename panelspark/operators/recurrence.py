@@ -63,7 +63,7 @@ def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> Dat
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_block = (Window.partitionBy(key, "_b").orderBy("_i")
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = run.rowsBetween(-BLOCK, -1)
+    before = run.rowsBetween(Window.unboundedPreceding, -1)
     k = F.col("_i") - F.col("_b") * BLOCK
 
     seen = {f"_n_{s.source}": F.count(s.source).over(upto) for s in specs.values()}

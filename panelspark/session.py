@@ -48,3 +48,13 @@ def is_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> bool:
     Only a count of at most ``max_rows + 1`` rows reaches the driver.
     """
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a frame of few input splits over the cores before heavy per-row work.
+
+    A table of at least as many splits as cores is returned as it is, so large
+    inputs are not shuffled. Only the plan is looked at, nothing runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
