@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..session import spread
+
+
+#: Tables that grow with the data; a single-file copy is spread over the cores.
+LARGE = ("lineitem", "orders", "documents", "events")
 
 
 class Tables:
@@ -21,7 +26,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(df) if name in LARGE else df
 
     @cached_property
     def market_data(self) -> DataFrame:
@@ -243,7 +249,7 @@ class Tables:
         page = F.year("date") - 1990
         heads = F.array(*[F.struct(F.lit(h).alias("header"), F.floor(c).alias("v"))
                           for h, c in STATEMENT_HEADERS.items()])
-        cells = f.select("company_id", page.alias("page"), label.alias("kwartal"), F.explode(heads).alias("h"))
+        cells = spread(f).select("company_id", page.alias("page"), label.alias("kwartal"), F.explode(heads).alias("h"))
         text = F.concat(F.col("h.v").cast("string"), F.lit(",5\u00a0"))
         return cells.select("company_id", "page", "kwartal", F.col("h.header").alias("header"),
                             text.alias("cell"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 # no decomposition, so ASCII folding drops it.
 ACCENTED = "ąćęńóśźżĄĆĘŃÓŚŹŻ"
 FOLDED = "acenoszzACENOSZZ"
-# End of quarter by roman numeral.
+# Valid years and the end of quarter by roman numeral.
+FIRST_YEAR, LAST_YEAR = "1678", "2261"
 QUARTER_END = {"I": "03-31", "II": "06-30", "III": "09-30", "IV": "12-31"}
 
 
@@ -23,7 +24,7 @@ def normalise_header(col: Column | str) -> Column:
     c = F.translate(col, ACCENTED, FOLDED)
     c = F.regexp_replace(c, r"[^\x00-\x7F]", "")
     c = F.regexp_replace(c, r"\(tys.\.\)\*?", "")
-    return F.lower(F.regexp_replace(c, r"[* .()]", ""))
+    return F.lower(F.translate(c, "* .()", ""))
 
 
 def parse_number(col: Column | str) -> Column:
@@ -44,13 +45,16 @@ def parse_date(col: Column | str) -> Column:
 
 
 def quarter_date(label: Column | str) -> Column:
-    """End of the quarter named by a roman numeral and a year; invalid labels give NULL."""
+    """End of the quarter named by a roman numeral and a year; invalid labels give NULL.
+
+    Years outside the range of nanosecond timestamps count as invalid.
+    """
     label = F.col(label) if isinstance(label, str) else label
     roman = F.regexp_extract(label, "([IV]+)", 1)
     year = F.regexp_extract(label, r"(\d{4})", 1)
     ends = F.create_map(*[F.lit(x) for kv in QUARTER_END.items() for x in kv])
     ok = F.replace(label, F.lit(" "), F.lit("")) != "Q0000"
-    text = F.concat_ws("-", F.when(ok & (year != ""), year), ends[roman])
+    text = F.concat_ws("-", F.when(ok & year.between(FIRST_YEAR, LAST_YEAR), year), ends[roman])
     return F.when(F.length(text) == 10, text).try_cast("date")
 
 

@@ -94,11 +94,14 @@ def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> Dat
     return df.select(*[c for c in df.columns if c not in made and c not in specs], *out)
 
 
-def rsi_inputs(df: DataFrame, close: str = "close", key: str = "company_id") -> DataFrame:
-    """Add ``_up`` and ``_down``, the gains and losses from row to row."""
+def rsi_inputs(df: DataFrame, close: str = "close", key: str = "company_id", **extra: Column) -> DataFrame:
+    """Add ``_up`` and ``_down``, the gains and losses from row to row.
+
+    ``extra`` columns over the same window are added in the same stage.
+    """
     delta = F.col(close) - F.lag(close, 1).over(Window.partitionBy(key).orderBy("_b", "_i"))
     d = F.col("_d")
-    return (df.withColumn("_d", delta)
+    return (df.select("*", delta.alias("_d"), *[c.alias(n) for n, c in extra.items()])
             .withColumn("_up", F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))))
             .withColumn("_down", F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0)))).drop("_d"))
 

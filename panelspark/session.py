@@ -51,10 +51,10 @@ def is_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> bool:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a frame of few input splits over the cores before heavy per-row work.
+    """Spread a frame read from few files over the cores before heavy per-row work.
 
-    A table of at least as many splits as cores is returned as it is, so large
-    inputs are not shuffled. Only the plan is looked at, nothing runs.
+    A table of at least as many files as cores is returned as it is, so large
+    inputs are not shuffled. Only the file list is looked at, nothing runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
