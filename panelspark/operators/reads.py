@@ -65,18 +65,16 @@ def drop_all_null_columns(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
 def drop_constant_columns(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     """Remove the columns with one distinct value, where NULL counts as a value.
 
-    min = max is the distinct test, so no distinct set is ever built.
+    Each column is compared with its value in one row: one flag per column is
+    aggregated, and no distinct set is ever built.
     """
     ex = set(exclude)
     cols = [c for c in df.columns if c not in ex]
-    total = df.agg(F.count(F.lit(1)).alias("_n"), *[
-        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-        for c in cols]).first()
-
-    def constant(c: str) -> bool:
-        s = total[c]
-        return s.n == 0 or (s.n == total["_n"] and s.lo == s.hi)
-    return df.select(*[c for c in df.columns if c in ex or not constant(c)])
+    one = df.select(*cols).first()
+    if one is None:
+        return df.select(*[c for c in df.columns if c in ex])
+    varies = df.agg(*[F.max(~F.col(c).eqNullSafe(F.lit(one[c]))).alias(c) for c in cols]).first()
+    return df.select(*[c for c in df.columns if c in ex or varies[c]])
 
 
 def news_of(articles: DataFrame, links: DataFrame, *, min_confidence: float | None = None,
