@@ -136,7 +136,7 @@ def map_bank(t: Tables) -> DataFrame:
     CASE WHEN c.sector_id IN (7, 22) THEN NULL ELSE {D.format('operating_profit')} END AS operating_profit,
     {D.format('gross_profit')} AS gross_profit, {D.format('net_profit')} AS net_profit,
     CASE WHEN c.sector_id IN (7, 22) THEN NULL ELSE {D.format('operating_profit')} + {D.format('ebitda')} END AS ebitda,
-    {D.format('revenue')} AS assets, NULL::DOUBLE AS equity, NULL::DOUBLE AS shares, {D.format('net_profit')} AS eps, NULL::DOUBLE AS bvps
+    {D.format('revenue')} AS assets, NULL::DOUBLE AS equity, NULL::DOUBLE AS shares, {D.format('net_profit')} AS eps, NULL::DOUBLE AS bvps, NULL::VARCHAR AS audited
     FROM fundamentals f LEFT JOIN companies c ON c.id = f.company_id""", "fundamentals", "companies"))
 def map_sector(t: Tables) -> DataFrame:
     return st.map_sector(ld.statement_rows(t.statement_cells), t.companies)

@@ -44,6 +44,7 @@ OPTIONAL = {
     "eps": ["zysknaakcjez", "zysknaakcjezl", "zysknaakcje(zl)"],
     "bvps": ["wartoscksiegowanaakcjez", "wartoscksiegowanaakcjezl"],
 }
+AUDITED = ["raportzbadanyprzezaudytora"]
 BANK_SECTOR, INSURANCE_SECTOR = 7, 22
 
 
@@ -74,12 +75,16 @@ def map_bank(rows: DataFrame, keys: Sequence[str] = ("company_id", "date")) -> D
 
 
 def map_sector(rows: DataFrame, companies: DataFrame) -> DataFrame:
-    """Revenue, profits and EBITDA by the rules of the company's sector, with optional extras."""
+    """Revenue, profits and EBITDA by the rules of the company's sector, with optional extras.
+
+    The audit note is text; it is NULL when the rows carry no cell text.
+    """
     picks = {"rev": pick(REVENUE), "prem": pick(INSURANCE_PREMIUM), "inv": pick(INSURANCE_INVESTMENT),
              "bank": pick(BANK_RESULT), "int": pick(BANK_INTEREST), "fee": pick(BANK_FEES),
              "op": pick(OPERATING, exact=False, prefix=True), "tech": pick(TECHNICAL, exact=False, prefix=True),
              "gross": pick(GROSS), "net": pick(NET), "ebitda": pick(EBITDA), "ebit": pick(EBIT),
-             "amort": pick(AMORTISATION), **{m: pick(c) for m, c in OPTIONAL.items()}}
+             "amort": pick(AMORTISATION), **({"audited": pick(AUDITED, exact=False, prefix=True, value="text")}
+                                             if "text" in rows.columns else {}), **{m: pick(c) for m, c in OPTIONAL.items()}}
     wide = rows.groupBy("company_id", "date").agg(*[c.alias(f"_{n}") for n, c in picks.items()])
     sector = companies.select(F.col("id").alias("company_id"), "sector_id")
     wide = wide.join(sector, "company_id", "left")
@@ -103,4 +108,5 @@ def map_sector(rows: DataFrame, companies: DataFrame) -> DataFrame:
     ebitda = F.when(~financial & has("ebitda"), val("ebitda")).when(~financial, val("ebit") + val("amort"))
     return wide.select("company_id", "date", revenue.alias("revenue"), operating.alias("operating_profit"),
                        val("gross").alias("gross_profit"), val("net").alias("net_profit"),
-                       ebitda.alias("ebitda"), *[val(m).alias(m) for m in OPTIONAL])
+                       ebitda.alias("ebitda"), *[val(m).alias(m) for m in OPTIONAL],
+                       (val("audited") if "text" in rows.columns else F.lit(None).cast("string")).alias("audited"))

@@ -95,14 +95,16 @@ def statement_rows(cells: DataFrame, keys: Sequence[str] = ("company_id",)) -> D
     """Statement cells (page, kwartal, header, cell) to one row per key, quarter and header.
 
     A quarter seen on several pages is taken from the first page. Headers are
-    normalised; labels that name no quarter are dropped.
+    normalised; labels that name no quarter are dropped. The cell text is kept
+    beside its number.
     """
     rows = cells.select(*keys, "page", quarter_date("kwartal").alias("date"),
-                        normalise_header("header").alias("header"), parse_number("cell").alias("value"))
+                        normalise_header("header").alias("header"), parse_number("cell").alias("value"),
+                        F.trim("cell").alias("text"))
     rows = rows.where(F.col("date").isNotNull())
     return (rows.groupBy(*keys, "date", "header")
-            .agg(F.min_by(F.struct("value"), F.struct("page", "value")).alias("v"))
-            .select(*keys, "date", "header", F.col("v.value").alias("value")))
+            .agg(F.min_by(F.struct("value", "text"), F.struct("page", "value", "text")).alias("v"))
+            .select(*keys, "date", "header", "v.value", "v.text"))
 
 
 def statement_wide(rows: DataFrame, headers: Sequence[str], keys: Sequence[str] = ("company_id",)) -> DataFrame:
