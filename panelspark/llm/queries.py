@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelspark.session import scratch_path
 
-from . import packing, token_store
+from . import mixing, packing, rules, simhash, token_store
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,21 @@ def op1_token_store(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_quality_rules", rules.ORACLE)
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rows = rules.ledger(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits",
+                       (~rules.apply_policy(rows, "base-1")).alias("base_failed"),
+                       rules.apply_policy(rows, "web-1").alias("kept"))
+
+
+@query("op10_mixing", mixing.ORACLE)
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
