@@ -18,6 +18,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import lookup_join, stage, text_bytes
 
@@ -63,7 +64,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 [*names, "_rid", "_fp"])
             rid += b.num_rows
 
-    kinds = docs.schema.add("_rid", "long").add("_fp", "long")
+    kinds = T.StructType([*docs.schema.fields, T.StructField("_rid", T.LongType()), T.StructField("_fp", T.LongType())])
     return docs.mapInArrow(add, kinds)
 
 
