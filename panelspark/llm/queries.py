@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelspark.session import scratch_path
 
-from . import mixing, packing, rules, simhash, token_store
-from .common import table
+from . import language, mixing, packing, quality, rules, simhash, token_store, topk
+from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +54,26 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op2_topk")
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.whole_vectors(table(spark, folder, "embeddings"))
+    return topk.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query("op4_quality_votes")
+def op4_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"), ~held_out("id", 5, 0))
+    return quality.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("quality_score").alias("score"),
+        F.when(F.col("quality_score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.filter(~held_out("doc_id", 4, 2)))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
