@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from panelspark.session import scratch_path
 
-from . import language, mixing, packing, quality, rules, simhash, token_store, topk
-from .common import held_out, table
+from . import chat, language, mixing, packing, quality, rules, scoring, simhash, token_store, topk
+from .common import held_out, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +77,19 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.train(docs.filter(~held_out("doc_id", 4, 2)))
     return language.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query("op6_chat")
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                 "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.digests(stage(chat.format_chats(turns), "chats")).drop("loss_spans")
+
+
+@query("op9_lm_scores")
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    rows = scoring.score(table(spark, folder, "documents"), "crc32(cast(cast(doc_id AS string) AS binary)) % 7 <> 2")
+    return rows.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                       "base_score", "score")
