@@ -100,8 +100,9 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
     return Filter(langs, index, kept["gram"].to_numpy(np.int64).astype(np.uint32))
 
 
-def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and lang_score; no shuffle.
+def predict(docs: DataFrame, model: Filter, text_col: str = "text",
+            out_cols: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """``docs`` with the language and its share (``out_cols``); no shuffle.
 
     A NULL text, one without a letter, and any text if no language was learned give ``und`` and 0. Ties go to the
     smaller name. Rows and columns stay as they are; columns named like the new ones are replaced.
@@ -119,10 +120,11 @@ def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame
                 out.append((sent.value.langs[best], float(share[best])) if best >= 0 else (UNKNOWN, 0.0))
             yield pd.DataFrame(out, columns=["lang_pred", "lang_score"])
 
-    rest = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
-    return docs.withColumn("_guess", guess(F.col(text_col))).select(*rest, "_guess.lang_pred", "_guess.lang_score")
+    rest = [c for c in docs.columns if c not in out_cols]
+    return docs.withColumn("_guess", guess(F.col(text_col))).select(
+        *rest, F.col("_guess.lang_pred").alias(out_cols[0]), F.col("_guess.lang_score").alias(out_cols[1]))
 
 
-def kept(rows: DataFrame, min_score: float = 0.3) -> Column:
+def kept(rows: DataFrame, min_score: float = 0.3, cols: tuple[str, str] = ("lang_pred", "lang_score")) -> Column:
     """True for rows in a learned language: it was found, and holds at least ``min_score`` of the text's windows."""
-    return (rows["lang_pred"] != UNKNOWN) & (rows["lang_score"] >= min_score)
+    return (rows[cols[0]] != UNKNOWN) & (rows[cols[1]] >= min_score)

@@ -113,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
     return model
 
 
-def score(docs: DataFrame, model: Voters, text_col: str = "text") -> DataFrame:
-    """``docs`` with quality_score (0 to 1); no shuffle. NULL and empty texts get the share of label 1.
+def score(docs: DataFrame, model: Voters, text_col: str = "text", out_col: str = "quality_score") -> DataFrame:
+    """``docs`` with ``out_col`` (0 to 1); no shuffle. NULL and empty texts get the share of label 1.
 
     Rows and columns stay as they are; a column named like the new one is replaced.
     """
@@ -126,4 +126,4 @@ def score(docs: DataFrame, model: Voters, text_col: str = "text") -> DataFrame:
             out = [sent.value.score(np.stack([terms(t) for t in p.iloc[i:i + BLOCK]])) for i in range(0, len(p), BLOCK)]
             yield pd.Series(np.concatenate(out) if out else [], dtype=float)
 
-    return docs.withColumn("quality_score", vote(F.col(text_col)))
+    return docs.withColumn(out_col, vote(F.col(text_col)))
