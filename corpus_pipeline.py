@@ -1,4 +1,71 @@
-"""Corpus pipeline: stages of operators over documents, each written as Parquet and read again by the next."""
-STAGES = []
-def pipeline(spark, folder):
-    raise NotImplementedError
+"""Corpus pipeline: stages of operators over documents, each written as Parquet and read again by the next.
+
+Every stage but the last returns the columns of its input. NULLs, empty texts, repeated rows and extra columns are
+handled as the operators say; an empty table passes through.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelspark.llm import language, mixing, packing, quality, simhash
+from panelspark.llm.common import stage, table
+
+#: Score below which the quality classifier rejects a document.
+MIN_QUALITY = 0.3
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose labelled neighbours vote for quality; the labels are those of kept and lost documents alike."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, out_col="_quality").filter(F.col("_quality") >= MIN_QUALITY).select(*docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the table's own texts teach; texts without letters go."""
+    out = ("_lang", "_share")
+    rows = language.predict(docs, language.train(docs), out_cols=out)
+    return rows.filter(language.kept(rows, cols=out)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of linked fingerprints: the one with the smallest id."""
+    return simhash.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: not at all, once or twice. Rows with equal ids share their fate."""
+    uses = stage(mixing.mix(docs).select("source", "size", F.col("doc_id").alias("_id"), "copies"), "mix")
+    uses = uses.groupBy("_id", F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"))
+    match = docs["doc_id"].eqNullSafe(uses["_id"]) & docs["source"].eqNullSafe(uses["_source"])
+    return (docs.join(uses, match).filter(F.col("_copies") > 0)
+            .withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their sequences and offsets."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", classify_quality),
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+#: No DuckDB text: neither the votes nor the fingerprints can be said in SQL; tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what one returns is stored and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, build in STAGES:
+        docs = stage(build(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
