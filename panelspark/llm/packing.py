@@ -119,12 +119,15 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_items: int = 16_384, sla
         pdf["host"], pdf["host_fill"], pdf["done"] = lead[bins][which], total[which], done[which]
         return pdf
 
+    def merger(last: bool):
+        return lambda pdf: merge_round(pdf, last)  # one argument: with two, Spark would pass the key first
+
     finals, groups = [], n_groups
     while groups > 1:
         groups = -(-groups // fan_in)
         last = groups == 1
         level = stage(rest.withColumn("_group", F.floor(F.col("_group") / fan_in)).groupBy("_group").applyInPandas(
-            lambda pdf, last=last: merge_round(pdf, last), columns), "merged")
+            merger(last), columns), "merged")
         finals.append(level.filter("done"))
         rest = level.filter("NOT done")
     out = packed
