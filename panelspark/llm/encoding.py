@@ -4,76 +4,128 @@ A pre-tokenizer never joins a character that is not white space with a space beh
 before every single space that follows such a character, and each piece has the ids it has inside the text. Pieces are
 remembered, so that a word costs one dictionary access after it was seen once. A plain piece (ASCII and Latin letters,
 no apostrophe, no double white space) is cut further where letters meet other characters, which are boundaries for the
-supported pre-tokenizers too; what is left unseen goes through the tokenizer.
+supported pre-tokenizers too; what is left unseen goes through the tokenizer, words of letters many at a time.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
-import numpy as np
 from tokenizers import Tokenizer
 
 # Characters beside which a piece is not cut further (a capital dotted I gains a mark when lower-cased), runs
 _NOT_PLAIN = re.compile("\\s\\s|[ '<\x1c-\x1f\u0080-¿×÷İɐ-\U0010ffff]")
 _RUNS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[^A-Za-zÀ-ÖØ-öø-ɏ]+")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _SPACED = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 
-#: Pieces looked at in one step; bounds the memory of a very long text.
-STEP = 65_536
+#: Characters of texts whose unseen words are learned together; a longer text is a step of its own.
+STEP = 1_000_000
+#: Unseen words that go through the tokenizer as one text.
+JOINED = 256
 
 
 class PieceEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    ``max_entries`` bounds the remembered pieces of a worker; beyond it all are forgotten. An empty text has no ids.
+    ``max_entries`` bounds the remembered pieces of a worker, and their parts; beyond it all are forgotten. An empty text
+    has no ids.
     """
 
-    def __init__(self, path: str, max_entries: int = 400_000) -> None:
+    def __init__(self, path: str, max_entries: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.max_entries = max_entries
         self.pieces: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def _parts(self, piece: str, first: bool) -> list[str]:
-        lead = "" if first else " "
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [_pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of words of letters behind ``lead`` (a space or nothing), from texts of ``JOINED`` words.
+
+        A word is one pre-token of the joined text. Words without a lead are joined by line ends, which are pre-tokens
+        of their own or none. If the number of pre-tokens is another, the words are encoded one by one.
+        """
+        blocks = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = [lead + (lead or "\n").join(b) for b in blocks]
+        out: list[bytes] = []
+        for block, e in zip(blocks, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            ids, of = e.ids, e.word_ids
+            starts = [i for i, w in enumerate(of) if not i or w != of[i - 1]] + [len(ids)]
+            parts = len(starts) - 1
+            step = 1 if parts == len(block) else 2 if not lead and parts == 2 * len(block) - 1 else 0
+            if step:
+                out += [_pack(ids[starts[i]:starts[i + 1]]) for i in range(0, parts, step)]
+            else:
+                out += self._ids([lead + w for w in block])
+        return out
+
+    def _parts(self, piece: str, lead: str) -> list[str]:
         if not piece or piece[0].isspace() or _NOT_PLAIN.search(piece):
             return [lead + piece]
         parts = _RUNS.findall(piece)
         parts[0] = lead + parts[0]
         return parts
 
+    def _learn_runs(self, runs: Iterable[str]) -> None:
+        missing = set(runs).difference(self.runs)
+        bare = [r for r in missing if _LETTERS.fullmatch(r)]
+        led = [r[1:] for r in missing if r[0:1] == " " and _LETTERS.fullmatch(r, 1)]
+        rest = list(missing.difference(bare, [" " + w for w in led]))
+        self.runs.update(zip(bare, self._words(bare, "")))
+        self.runs.update(zip([" " + w for w in led], self._words(led, " ")))
+        self.runs.update(zip(rest, self._ids(rest)))
+
     def _learn(self, missing: set[str]) -> None:
-        if len(self.runs) + len(missing) > self.max_entries:
+        words = [p for p in missing if _LETTERS.fullmatch(p)]
+        self.pieces.update(zip(words, self._words(words, " ")))
+        parts = {p: self._parts(p, " ") for p in missing.difference(words)}
+        self._learn_runs(r for rs in parts.values() for r in rs)
+        for p, rs in parts.items():
+            self.pieces[p] = b"".join([self.runs[r] for r in rs])
+
+    def _block(self, texts: list[str]) -> Iterator[bytes]:
+        cuts = [_CUT.split(t) if _SPACED.search(t) else t.split(" ") for t in texts]
+        firsts = [self._parts(c[0], "") for c in cuts]
+        if len(self.pieces) > self.max_entries:
+            self.pieces.clear()
+        if len(self.runs) > self.max_entries:
             self.runs.clear()
-        parts = {p: self._parts(p[1:], p[0] == "^") for p in missing}
-        new = list({x for ps in parts.values() for x in ps if x not in self.runs})
-        for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.runs[x] = np.array(e.ids, "<u4").tobytes()
-        for p, ps in parts.items():
-            self.pieces[p] = b"".join([self.runs[x] for x in ps])
+        self._learn_runs(chain.from_iterable(firsts))
+        self._learn(set(chain.from_iterable(islice(c, 1, None) for c in cuts)).difference(self.pieces))
+        for text, first, c in zip(texts, firsts, cuts):
+            yield b"".join([*[self.runs[r] for r in first], *map(self.pieces.__getitem__, islice(c, 1, None))]) if text else b""
+
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text in turn; NULL is empty. Texts are taken ``STEP`` characters at a time, a longer one alone."""
+        block, size = [], 0
+        for text in texts:
+            text = text or ""
+            if block and size + len(text) > STEP:
+                yield from self._block(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text)
+        yield from self._block(block)
 
     def encode(self, text: str) -> bytes:
-        """Ids of one text. The memory's keys are a mark (``^`` first piece, ``_`` behind a space) and the piece."""
-        if not text:
-            return b""
-        cut = _CUT.split(text) if _SPACED.search(text) else text.split(" ")
-        keys = ["_" + p for p in cut]
-        keys[0] = "^" + cut[0]
-        out = []
-        for i in range(0, len(keys), STEP):
-            some = keys[i:i + STEP]
-            if len(self.pieces) + STEP > self.max_entries:
-                self.pieces.clear()
-            got = [self.pieces.get(k) for k in some]
-            if None in got:
-                self._learn({k for k, g in zip(some, got) if g is None})
-                got = [self.pieces[k] for k in some]
-            out.append(b"".join(got))
-        return b"".join(out)
+        """Ids of one text."""
+        return next(self.encode_many([text]))
+
+
+def _pack(ids: list[int]) -> bytes:
+    data = array("I", ids)
+    if sys.byteorder == "big":
+        data.byteswap()
+    return data.tobytes()
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

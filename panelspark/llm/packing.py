@@ -65,8 +65,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col:
         end, slot = int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId() << 36
         for b in batches:
             out = {k: [] for k in ("slot", "doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                data = encoder(tokenizer).encode(text.as_py() or "") + end
+            texts = (t.as_py() for t in b.column(1))
+            for doc, ids in zip(b.column(0).to_pylist(), encoder(tokenizer).encode_many(texts)):
+                data = ids + end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     ids = data[at:at + 4 * capacity]
                     for k, v in zip(out, (slot, doc, piece, at // 4, len(ids) // 4, zlib.crc32(ids))):

@@ -88,7 +88,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         packer = zstandard.ZstdCompressor(level=level, dict_data=shared, write_content_size=True)
-        part, before = TaskContext.get().partitionId(), 0
+        part, before, end = TaskContext.get().partitionId(), 0, int(end_id).to_bytes(4, "little")
         ids, tokens, frames = [], [], []
 
         def segment() -> pa.RecordBatch:
@@ -103,8 +103,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
 
         size = 0
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                data = _document_ids(text.as_py(), tokenizer, end_id)
+            texts = (t.as_py() for t in b.column(1))
+            for doc, known in zip(b.column(0).to_pylist(), encoder(tokenizer).encode_many(texts)):
+                data = known + end
                 frame = packer.compress(_narrow(data, width))
                 ids.append(doc)
                 tokens.append(len(data) // 4)
