@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.session import scratch_path
 
-from . import chat, language, mixing, packing, quality, rules, scoring, simhash, token_store, topk
+from . import chat, language, mixing, packing, phrases, quality, rules, scoring, simhash, token_store, topk
 from .common import held_out, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows = scoring.score(table(spark, folder, "documents"), "crc32(cast(cast(doc_id AS string) AS binary)) % 7 <> 2")
     return rows.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                        "base_score", "score")
+
+
+@query("op11_phrases", phrases.ORACLE)
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
