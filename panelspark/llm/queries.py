@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.session import scratch_path
 
-from . import chat, language, mixing, packing, phrases, quality, rules, scoring, simhash, token_store, topk
+from . import chat, clusters, language, mixing, packing, phrases, quality, rules, scoring, simhash, token_store, topk
 from .common import held_out, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_phrases", phrases.ORACLE)
 def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query("op12_clusters", clusters.ORACLE)
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.cluster(table(spark, folder, "embeddings"))
