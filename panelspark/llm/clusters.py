@@ -1,6 +1,6 @@
 """Centroid clustering of integer vectors over a VA-file.
 
-Each component of a vector is also kept as the number of one of 32 cells, 5 bits. For a set of centroids, lookup tables
+Each component of a vector is also kept as the number of one of 64 cells, 6 bits. For a set of centroids, lookup tables
 give the least and the largest squared distance that a cell allows per dimension, so their sums bound the distance of a
 vector to every centroid. A round reads the cells alone; whole vectors are fetched only where the intervals of several
 centroids overlap, and where a vector changes its cluster, since sums are kept by what enters and leaves. All numbers are
@@ -23,7 +23,7 @@ from .common import lookup_join, stage
 
 #: Bits of a cell, and vectors from which the cells' borders are taken (those of least row hash). Borders decide how
 #: often vectors are fetched, never a result.
-CELL_BITS, BORDER_SAMPLE = 5, 4096
+CELL_BITS, BORDER_SAMPLE = 6, 4096
 
 # Factor of the components, components, centroids, rounds, salt of the start
 FACTOR, WIDTH, CENTROIDS, ROUNDS, SALT = 64, 64, 16, 3, "1:"
@@ -113,7 +113,7 @@ def nearest(v: np.ndarray, centroids: np.ndarray, may: np.ndarray) -> tuple[np.n
 
 
 def fit_cells(vectors: DataFrame, bits: int = CELL_BITS, sample: int = BORDER_SAMPLE) -> Cells:
-    """Cells between the exact ends of each dimension, with borders at quantiles of a bounded sample."""
+    """Cells between the exact ends of each dimension, with equal steps between two quantiles of a bounded sample."""
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = high = None
         for b in batches:
@@ -129,8 +129,8 @@ def fit_cells(vectors: DataFrame, bits: int = CELL_BITS, sample: int = BORDER_SA
           .agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("d").collect())  # one row a dimension
     some = vectors.orderBy(F.xxhash64("rid")).select("v").limit(sample).collect()
     x = np.array([r.v for r in some], np.int64)
-    shares = np.arange(1, 1 << bits) / (1 << bits)
-    borders = np.ceil(np.quantile(x, shares, axis=0)).astype(np.int64).T
+    near, far = np.quantile(x, [0.001, 0.999], axis=0)  # an outlier widens the two outer cells only
+    borders = np.ceil(np.linspace(near, far + 1, (1 << bits) + 1, axis=1)[:, 1:-1]).astype(np.int64)
     return Cells(borders, np.array([r.low for r in by]), np.array([r.high for r in by]), bits)
 
 
