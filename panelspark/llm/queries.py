@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.session import scratch_path
 
-from . import chat, clusters, language, mixing, packing, phrases, quality, rules, scoring, simhash, token_store, topk
+from . import chat, clusters, jaccard, language, mixing, packing, phrases, quality, rules, scoring, simhash, token_store, topk
 from .common import held_out, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_clusters", clusters.ORACLE)
 def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.cluster(table(spark, folder, "embeddings"))
+
+
+@query("op13_jaccard", jaccard.ORACLE)
+def op13_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"))
