@@ -99,6 +99,33 @@ def ema_plain(t: Tables) -> DataFrame:
     return rounded(out.select("company_id", "date", "ema_12", "ema_26"), 4)
 
 
+SPANS = (2, 3, 5, 26, 50, 200)
+
+
+@query("ema_spans", with_tables("SELECT company_id, date, " + ", ".join(f"{rnd(f's{n}.y', 4)} AS ema_{n}" for n in SPANS) + " FROM s2"
+                                + "".join(f" JOIN s{n} USING (company_id, date)" for n in SPANS[1:]), "market_data",
+                                extra=",\n".join(recurrence_sql(f"s{n}", "market_data", "close", f"2.0::DOUBLE / {n + 1}") for n in SPANS)))
+def ema_spans(t: Tables) -> DataFrame:
+    """Averages from the fastest to the slowest span in use."""
+    out = ewm(indexed(_close(t)), {f"ema_{n}": Ewm("close", span(n)) for n in SPANS})
+    return rounded(out.select("company_id", "date", *[f"ema_{n}" for n in SPANS]), 4)
+
+
+GAPS = "CASE WHEN day(date) % 3 = 0 OR (month(date) = 5 AND company_id % 2 = 0) THEN NULL ELSE close END"
+
+
+@query("ema_gaps", with_tables(f"""SELECT m.company_id, m.date, {rnd('last_value(a.y IGNORE NULLS) OVER w', 4)} AS ema_5,
+    {rnd('last_value(b.y IGNORE NULLS) OVER w', 4)} AS ema_14 FROM market_data m LEFT JOIN a USING (company_id, date)
+    LEFT JOIN b USING (company_id, date) WINDOW w AS (PARTITION BY m.company_id ORDER BY m.date ROWS UNBOUNDED PRECEDING)""",
+                               "market_data", extra=f"gaps AS (SELECT company_id, date, {GAPS} AS x FROM market_data),\n" + recurrence_sql(
+                                   "a", "gaps", "x", "2.0::DOUBLE / 6") + ",\n" + recurrence_sql("b", "gaps", "x", "2.0::DOUBLE / 15", 14)))
+def ema_gaps(t: Tables) -> DataFrame:
+    """Averages of a series with missing days and months: a gap keeps the average."""
+    df = _close(t).withColumn("close", F.expr(GAPS))
+    out = ewm(indexed(df), {"ema_5": Ewm("close", span(5)), "ema_14": Ewm("close", span(14), 14)})
+    return rounded(out.select("company_id", "date", "ema_5", "ema_14"), 4)
+
+
 DIFFS = """diffs AS (SELECT company_id, date, greatest(d, 0) AS up, greatest(-d, 0) AS down FROM (
   SELECT company_id, date, close - lag(close) OVER (PARTITION BY company_id ORDER BY date) AS d FROM market_data) WHERE d IS NOT NULL)"""
 RSI_CTE = DIFFS + ",\n" + recurrence_sql("u", "diffs", "up", "1.0::DOUBLE / 14") + ",\n" + recurrence_sql(
@@ -109,7 +136,7 @@ RSI_CTE = DIFFS + ",\n" + recurrence_sql("u", "diffs", "up", "1.0::DOUBLE / 14")
     {rnd('100 * u.y / nullif(u.y + dn.y, 0)', 6)} END AS rsi_14 FROM market_data m LEFT JOIN u USING (company_id, date)
     LEFT JOIN dn USING (company_id, date)""", "market_data", extra=RSI_CTE))
 def rsi_wilder(t: Tables) -> DataFrame:
-    df = ewm(rsi_inputs(indexed(_close(t))), {"u": Ewm("_up", 1 / 14), "d": Ewm("_down", 1 / 14)})
+    df = ewm(rsi_inputs(indexed(_close(t))), {"u": Ewm("_up", 1 / 14), "d": Ewm("_down", 1 / 14, like="_up")})
     rsi = F.when(F.col("_i") >= 14, rsi_from("u", "d"))
     return rounded(df.select("company_id", "date", rsi.alias("rsi_14")), 6)
 

@@ -1,15 +1,13 @@
-"""Exponential recurrences y_t = a*y_(t-1) + b*x_t with plain window sums.
-
-Written out, y_t is the sum of a^(t-i) * z_i over the inputs so far, where z
-holds the seed first and b*x after it. The series is cut into blocks of
-``BLOCK`` rows. Inside a block the sum is a window sum of z * a^-i, scaled by
-a^i; across blocks only the end value of the previous block matters, because
-a^BLOCK is below 1e-30 for every rate used here, far under double precision.
-Powers stay below 1e100, so nothing overflows.
-
-All windows share the partitioning of the company key (a partition by
-(company, block) is already satisfied by it), so a chain of recurrences costs
-one shuffle. No arrays, no Python rows.
+"""Exponential recurrences y_t = a*y_(t-1) + b*x_t with plain window sums, for any rate and with gaps.
+
+The inputs that are not NULL are numbered, and the numbers are cut into blocks. A block is one affine map: it multiplies
+what it is given by a^L and adds its own partial sum. Inside a block the partial sum is a window sum of z * a^-k scaled
+by a^k, where z is the seed first and b*x after it. The length L of a block follows the rate, so that a^-L can neither
+overflow nor leave anything of the block before last: a^L lies below 1e-30, far under double precision. So the map of one
+earlier block is all that a row needs, and a second window carries it.
+
+A NULL input changes nothing: its row repeats the average so far. Rates that allow it share a block length, and all
+windows share the partitioning of the company key, so a chain of recurrences costs one shuffle. No arrays, no Python rows.
 """
 
 from __future__ import annotations
@@ -21,25 +19,41 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Block length preferred wherever the rate allows it.
 BLOCK = 1024
 
+#: Least and most a block may decay, as a natural logarithm: e^-69 is 1e-30, e^650 is far from overflow.
+LEAST_DECAY, MOST_DECAY = 69.0, 650.0
+
 
 @dataclass(frozen=True)
 class Ewm:
-    """One recurrence: input column, smoothing rate, and how it is seeded.
+    """One recurrence: input column, smoothing rate in (0, 1], and how it is seeded.
 
-    ``seed=1`` starts from the first value; ``seed=n`` starts at the n-th value
-    with the mean of the first n, and is NULL before it.
+    ``seed=1`` starts from the first value; ``seed=n`` starts at the n-th value with the mean of the first n, and is
+    NULL before it. ``like`` names a column that is NULL in the same rows as the input; inputs that name the same
+    column are numbered once.
     """
 
     source: str
     alpha: float
     seed: int = 1
+    like: str | None = None
 
     def __post_init__(self) -> None:
-        decay = -BLOCK * math.log1p(-self.alpha)
-        if not 69.0 <= decay <= 650.0:
-            raise ValueError(f"rate {self.alpha} needs a block size other than {BLOCK}")
+        if not 0.0 < self.alpha <= 1.0 or self.seed < 1:
+            raise ValueError(f"rate {self.alpha} must lie in (0, 1] and seed {self.seed} must be positive")
+
+    @property
+    def block(self) -> int:
+        if self.alpha == 1.0:
+            return 1
+        decay = -math.log1p(-self.alpha)
+        return BLOCK if LEAST_DECAY <= BLOCK * decay <= MOST_DECAY else max(1, math.ceil(LEAST_DECAY / decay))
+
+    @property
+    def index(self) -> str:
+        return self.like or self.source
 
 
 def span(n: int) -> float:
@@ -54,43 +68,48 @@ def indexed(df: DataFrame, key: str = "company_id", order: str = "date") -> Data
 
 
 def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> DataFrame:
-    """Add one column per spec; the input must carry ``_i`` and ``_b``.
+    """Add one column per spec; the input must carry ``_i`` and ``_b`` (see :func:`indexed`).
 
-    NULL inputs are allowed before the first value only (a warm-up). A gap
-    inside a series is an error: drop such rows before :func:`indexed`.
+    An average is NULL before its seed; a NULL input later keeps the average as it is.
     """
     run = Window.partitionBy(key).orderBy("_b", "_i")
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    in_block = (Window.partitionBy(key, "_b").orderBy("_i")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = run.rowsBetween(Window.unboundedPreceding, -1)
-    k = F.col("_i") - F.col("_b") * BLOCK
-
-    seen = {f"_n_{s.source}": F.count(s.source).over(upto) for s in specs.values()}
-    means = {f"_m_{name}": F.avg(s.source).over(run.rowsBetween(-(s.seed - 1), 0))
-             for name, s in specs.items() if s.seed > 1}
-    df = df.select("*", *[c.alias(n) for n, c in {**seen, **means}.items()])
-
-    local = []
-    for name, s in specs.items():
-        x, n = F.col(s.source), F.col(f"_n_{s.source}")
-        first = x if s.seed == 1 else F.col(f"_m_{name}")
-        gap = F.raise_error(F.lit(f"gap inside the series {s.source}")).cast("double")
-        z = (F.when((n > 0) & x.isNull(), gap)
-             .when(n == s.seed, first).when(n > s.seed, x * s.alpha))
-        a = F.lit(1.0 - s.alpha)
-        local.append((F.pow(a, k) * F.sum(z * F.pow(a, -k)).over(in_block)).alias(f"_l_{name}"))
-    df = df.select("*", *local)
-
-    df = df.select("*", *[
-        F.last(F.when(k == BLOCK - 1, F.col(f"_l_{name}")), ignorenulls=True)
-        .over(before).alias(f"_c_{name}") for name in specs])
+    names = list(specs)
+    number = {s.index: f"_n_{s.index}" for s in specs.values()}
+    means = {name: f"_m_{name}" for name, s in specs.items() if s.seed > 1}
+    df = df.select("*", *[F.count(c).over(upto).alias(n) for c, n in number.items()],
+                   *[F.avg(specs[name].source).over(upto).alias(m) for name, m in means.items()])
+
+    blocks = {(s.index, s.block): f"_q_{s.index}_{s.block}" for s in specs.values()}
+    df = df.select("*", *[F.floor((F.col(number[c]) - 1) / length).alias(q) for (c, length), q in blocks.items()])
+
+    def place(s: Ewm) -> Column:
+        return F.col(number[s.index]) - 1 - F.col(blocks[s.index, s.block]) * s.block
+
+    for (c, length), q in blocks.items():
+        inside = Window.partitionBy(key, q).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = []
+        for name in names:
+            s = specs[name]
+            if (s.index, s.block) != (c, length):
+                continue
+            x, n, k, a = F.col(s.source), F.col(number[c]), place(s), F.lit(1.0 - s.alpha)
+            first = F.col(means[name]) if name in means else x
+            z = F.when(x.isNotNull() & (n == s.seed), first).when(n > s.seed, x * s.alpha)
+            local.append((F.pow(a, k) * F.sum(z * F.pow(a, -k)).over(inside)).alias(f"_l_{name}"))
+        df = df.select("*", *local)
+
+    # the first value of a block sees, one row back, the whole sum of the block before
+    back = {name: F.when(F.col(specs[name].index).isNotNull() & (place(specs[name]) == 0),
+                         F.lag(f"_l_{name}", 1).over(run)).alias(f"_p_{name}") for name in names}
+    df = df.select("*", *back.values())
+    df = df.select("*", *[F.last(f"_p_{name}", ignorenulls=True).over(upto).alias(f"_c_{name}") for name in names])
     out = []
     for name, s in specs.items():
-        carry = F.pow(F.lit(1.0 - s.alpha), k + 1) * F.col(f"_c_{name}")
+        carry = F.pow(F.lit(1.0 - s.alpha), place(s) + 1) * F.col(f"_c_{name}")
         y = F.coalesce(F.col(f"_l_{name}"), F.lit(0.0)) + F.coalesce(carry, F.lit(0.0))
-        out.append(F.when(F.col(f"_n_{s.source}") >= s.seed, y).alias(name))
-    made = {*seen, *means, *(f"_{p}_{name}" for p in "lc" for name in specs)}
+        out.append(F.when(F.col(number[s.index]) >= s.seed, y).alias(name))
+    made = {*number.values(), *means.values(), *blocks.values(), *(f"_{p}_{name}" for p in "lpc" for name in names)}
     return df.select(*[c for c in df.columns if c not in made and c not in specs], *out)
 
 

@@ -56,11 +56,30 @@ def test_recurrence_across_blocks(spark):
         assert np.allclose(g["seeded"], seeded(g["close"].to_numpy(), 14), rtol=1e-12, atol=0, equal_nan=True)
 
 
-def test_recurrence_rejects_gaps(spark):
-    pdf = panel([10]).assign(close=lambda d: d["close"].where(d.index != 5))
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 26, 50, 200, 5000])
+def test_recurrence_of_any_span_skips_gaps(spark, n):
+    pdf = panel([2500, 700, 3])
+    hole = (pd.to_datetime(pdf["date"]).dt.day % 3 == 0) | (pdf.index < 2)
+    pdf["close"] = pdf["close"].mask(hole)
     df = spark.createDataFrame(pdf).withColumn("close", F.nanvl("close", F.lit(None).cast("double")))
-    with pytest.raises(Exception, match="gap inside the series"):
-        ewm(indexed(df), {"e": Ewm("close", span(14))}).collect()
+    got = ordered(ewm(indexed(df), {"plain": Ewm("close", span(n)), "late": Ewm("close", span(n), 4)}))
+    for _, g in got.groupby("company_id"):
+        for name, seed in (("plain", 1), ("late", 4)):
+            y, seen, want = None, [], []
+            for x in g["close"]:
+                if not np.isnan(x):
+                    seen.append(x)
+                    if len(seen) == seed:
+                        y = float(np.mean(seen))
+                    elif y is not None:
+                        y += span(n) * (x - y)
+                want.append(np.nan if y is None else y)
+            assert np.allclose(g[name].astype(float), want, rtol=1e-11, atol=0, equal_nan=True)
+
+
+def test_recurrence_rejects_impossible_rates():
+    with pytest.raises(ValueError, match="must lie in"):
+        Ewm("close", 0.0)
 
 
 def test_indicators_match_pandas(spark):
