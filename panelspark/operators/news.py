@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..session import is_small
 from .joins import anti_existing
+from .matching import holding
 
-#: Alias tables up to this size are inlined and tested against each text.
-SCAN_ALIASES = 256
-#: Tag tables up to this size are inlined; larger ones are cut into blocks.
-INLINE_TAGS = 1024
-TAG_BLOCK = 256
+#: Bytes of the vectors of one block of tags, on average, and articles multiplied with it at a time.
+TAG_BLOCK_BYTES, ARTICLE_ROWS = 1 << 24, 256
 
 
 def alias_phrases(news: DataFrame, aliases: DataFrame, text: str = "text",
@@ -42,89 +41,85 @@ def alias_phrases(news: DataFrame, aliases: DataFrame, text: str = "text",
             .join(pats, "_run").select("news_article_id", "company_id").distinct())
 
 
-def _grams(word: Column, lengths: Column) -> Column:
-    """Distinct character runs of a word, of the given lengths."""
-    chars = F.split(word, "")
-    return F.array_distinct(F.flatten(F.transform(lengths, lambda k: F.when(
-        F.size(chars) >= k, F.transform(F.sequence(F.lit(1), F.size(chars) - k + 1),
-                                        lambda i: F.array_join(F.slice(chars, i, k), "")))
-        .otherwise(F.array().cast("array<string>")))))
+def alias_substrings(news: DataFrame, aliases: DataFrame, text: str = "text", id_col: str = "id") -> DataFrame:
+    """(article, company) pairs where an alias occurs anywhere in the lower-case text, each once.
 
+    All aliases are searched together, in one pass over each text, by :mod:`matching`; blank aliases match nothing.
+    """
+    pats = aliases.select("company_id", F.lower("alias").alias("_a")).where(F.trim("_a") != "")
+    docs = news.select(F.col(id_col).alias("_id"), F.lower(text).alias("_text"))
+    out = holding(docs, "_id", "_text", pats, "_a", "company_id")
+    return out.select(F.col("_id").alias("news_article_id"), F.col("_v").alias("company_id"))
 
-def alias_substrings(news: DataFrame, aliases: DataFrame, text: str = "text",
-                     id_col: str = "id", scan_limit: int = SCAN_ALIASES) -> DataFrame:
-    """(article, company) pairs where an alias occurs anywhere in the lower-case text.
 
-    A small alias table (its size is checked) is inlined as an array and tested
-    against each text in place. For a larger one the longest blank-free piece of
-    each alias is looked up among the distinct words of all texts, by an equi
-    join on its first letters; texts then meet the words that hold a piece. An
-    alias of several pieces is tested on the whole text at the end, so the
-    result is exact.
-    """
-    pats = aliases.select("company_id", F.lower("alias").alias("_a")).where(F.trim("_a") != "").distinct()
-    docs = news.select(F.col(id_col).alias("news_article_id"), F.lower(text).alias("_text"))
-    if is_small(pats, scan_limit):
-        table = pats.agg(F.collect_list(F.struct("company_id", "_a")).alias("v")).select("v").scalar()
-        hits = F.array_distinct(F.transform(
-            F.filter("_pats", lambda p: F.contains(F.col("_text"), p["_a"])), lambda p: p["company_id"]))
-        return (docs.withColumn("_pats", table)
-                .select("news_article_id", F.explode(hits).alias("company_id")))
-    piece = F.array_max(F.transform(F.split("_a", " "), lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))["s"]
-    pats = pats.withColumn("_p", piece).withColumn("_g", F.substring("_p", 1, 3))
-    lengths = pats.agg(F.collect_set(F.length("_g")).alias("v")).select("v").scalar()
-    words = docs.select("news_article_id", F.explode(F.array_distinct(F.split("_text", " "))).alias("_w"))
-    many = F.contains(F.col("_a"), F.lit(" "))
-    holding = (words.select("_w").distinct().withColumn("_ks", lengths)
-               .select("_w", F.explode(_grams(F.col("_w"), F.col("_ks"))).alias("_g")).join(pats, "_g")
-               .where(F.contains(F.col("_w"), F.col("_p"))).groupBy("_w").agg(
-                   F.collect_set(F.when(~many, F.col("company_id"))).alias("_sure"),
-                   F.collect_set(F.when(many, F.struct("company_id", "_a"))).alias("_maybe")))
-    # One row per article and word; the aliases of a word travel as one array.
-    found = words.join(holding, "_w").groupBy("news_article_id").agg(
-        F.array_distinct(F.flatten(F.collect_set("_sure"))).alias("_sure"),
-        F.array_distinct(F.flatten(F.collect_set("_maybe"))).alias("_maybe"))
-    tested = F.transform(F.filter("_maybe", lambda p: F.contains(F.col("_text"), p["_a"])), lambda p: p["company_id"])
-    return (docs.join(found, "news_article_id")
-            .select("news_article_id", F.explode(F.array_distinct(F.concat("_sure", tested))).alias("company_id")))
-
-
-def _dot(x: Column, y: Column) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-
-
-def _length(v: Column) -> Column:
-    return F.nullif(F.sqrt(_dot(v, v)), F.lit(0.0))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return _dot(a, b) / (_length(a) * _length(b))
-
-
-def best_topic(vectors: DataFrame, tags: DataFrame, id_col: str = "id",
-               inline_tags: int = INLINE_TAGS, block: int = TAG_BLOCK, salts: int = 64) -> DataFrame:
+def best_topic(vectors: DataFrame, tags: DataFrame, id_col: str = "id", block_bytes: int = TAG_BLOCK_BYTES) -> DataFrame:
     """Most similar tag of each article and its score; the lowest tag id wins a tie.
 
-    A small tag table (its size is checked) is inlined and compared inside the
-    row. A larger one is packed into blocks that meet the articles in an equi
-    join on (block, salt), and the best tag per block is compared across blocks.
-    Article-tag pairs are never materialised as rows.
+    Tags become blocks of unit vectors of bounded size, sent one by one. The articles stream past the blocks in one scan:
+    each block is a matrix product, and a row keeps its best tag so far, so neither vectors nor pairs are shuffled.
+    Candidates that differ by rounding alone are measured again one by one. An article with a NULL or zero vector has no
+    score; tags with such vectors, or of other lengths than the article's vector, are not compared.
     """
-    unit = tags.select("id", F.transform("vector", lambda x: x / _length(F.col("vector"))).alias("u"))
-    tag = F.array_sort(F.collect_list(F.struct("id", "u"))).alias("_tags")
-    best = F.array_max(F.transform("_tags", lambda t: F.struct(
-        (_dot(F.col("vector"), t["u"]) / _length(F.col("vector"))).alias("s"), (-t["id"]).alias("neg"))))
-    if is_small(tags, inline_tags):
-        out = vectors.withColumn("_tags", unit.agg(tag).select("_tags").scalar()).select(id_col, best.alias("_b"))
-    else:
-        packed = unit.groupBy(F.floor(F.col("id") / block).alias("_blk")).agg(tag)
-        blocks = packed.agg(F.collect_set("_blk").alias("v")).select("v").scalar()
-        packed = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        out = (vectors.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-               .withColumn("_blk", F.explode(blocks)).join(packed, ["_blk", "_salt"])
-               .select(id_col, best.alias("_b")).groupBy(id_col).agg(F.max("_b").alias("_b")))
-    return out.select(F.col(id_col).alias("news_article_id"),
-                      (-F.col("_b.neg")).alias("context_tag_id"), F.col("_b.s").alias("confidence_score"))
+    unit = tags.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
+    size = unit.agg(F.sum(F.size("vector") * 8).alias("b")).first()["b"] or 0
+    blocks = max(1, -(-size // block_bytes))
+    ident = vectors.schema[id_col].dataType.simpleString()
+    out = vectors.select(F.col(id_col).alias("_id"), F.col("vector").cast("array<double>").alias("_v"),
+                         F.lit(None).cast("double").alias("_s"), F.lit(None).cast("long").alias("_tag"))
+    kinds = f"_id {ident}, _v array<double>, _s double, _tag long"
+    for k in range(blocks):
+        rows = unit.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
+        sent = vectors.sparkSession.sparkContext.broadcast(_tag_blocks(rows))
+        out = out.mapInArrow(_closest(sent), kinds)
+    kind = tags.schema["id"].dataType
+    return out.select(F.col("_id").alias("news_article_id"), F.col("_tag").cast(kind).alias("context_tag_id"),
+                      F.col("_s").alias("confidence_score"))
+
+
+def _tag_blocks(rows: Sequence) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids in ascending order and vectors by length, without NULL and zero vectors."""
+    by: dict[int, list] = {}
+    for r in rows:
+        v = r["vector"]
+        if r["id"] is not None and v and None not in v and any(v):
+            by.setdefault(len(v), []).append((r["id"], v))
+    out = {}
+    for n, some in by.items():
+        some.sort()
+        out[n] = np.array([i for i, _ in some], np.int64), np.array([v for _, v in some], np.float64)
+    return out
+
+
+def _closest(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def cos(v: np.ndarray, t: np.ndarray) -> float:
+        return float((v * t).sum() / (np.sqrt((v * v).sum()) * np.sqrt((t * t).sum())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = {n: (ids, t, t / np.sqrt((t * t).sum(axis=1))[:, None]) for n, (ids, t) in sent.value.items()}
+        for b in batches:
+            lists = b.column(1)
+            sizes = np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, np.diff(lists.offsets.to_numpy()))
+            score, tag = b.column(2).to_pylist(), b.column(3).to_pylist()
+            for n, (ids, whole, units) in blocks.items():
+                rows = np.flatnonzero(sizes == n)
+                for at in range(0, len(rows), ARTICLE_ROWS):
+                    some = rows[at:at + ARTICLE_ROWS]
+                    v = lists.take(pa.array(some)).flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+                    length = np.sqrt((v * v).sum(axis=1))
+                    fine = np.flatnonzero(np.isfinite(length) & (length > 0))
+                    if not len(fine):
+                        continue
+                    dots = (v[fine] @ units.T) / length[fine][:, None]
+                    near = dots >= dots.max(axis=1, keepdims=True) - 1e-9
+                    for j, row in enumerate(fine.tolist()):
+                        i = int(some[row])
+                        for c in np.flatnonzero(near[j]).tolist():
+                            s, t = cos(v[row], whole[c]), int(ids[c])
+                            if score[i] is None or s > score[i] or (s == score[i] and t < tag[i]):
+                                score[i], tag[i] = s, t
+            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(score, pa.float64()), pa.array(tag, pa.int64())],
+                                             ["_id", "_v", "_s", "_tag"])
+    return run
 
 
 # The small built-in sentiment lexicon.
