@@ -9,8 +9,9 @@ prefix holds a few combinations for each shingle that may be missing; sets are d
 border to both, so that two similar sets always use the same groups.
 
 Sets that are equal are one node. Nodes that share signatures are first compared with the least node of the signature,
-then, where that leaves several components in a signature, across components; every comparison is of whole sets. Texts
-are read again for each step, so neither texts nor sets of all documents are shuffled.
+then, where that leaves several components in a signature, across components. Sizes and a quarter of both sets decide
+most comparisons, whole sets the rest. Texts are read again for each step, so no texts are shuffled, and sets only of
+documents that share a signature.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ GROUP_WIDTH = {2: 4, 3: 5}
 #: and counts gathered by a task before it sends them.
 COUNT_BITS, SLICE_LOG, FLUSH = 32, 12, 1 << 23
 
+#: Fingerprints from here on, a quarter of all, are compared first.
+PART_FROM = np.uint64(3 << 62)
+
 #: Sets compared with one copy of a pivot's set in a task.
 PER_COPY = 1024
 
@@ -242,8 +246,8 @@ class Prefixes:
         return np.concatenate(out)
 
 
-def signatures(docs: DataFrame, size: int, kinds: Classes, prefixes: Prefixes, only: filters.Bloom | None = None) -> DataFrame:
-    """sig, k1 of every set, once a task for equal sets; ``only`` keeps those that may be shared."""
+def signatures(docs: DataFrame, size: int, kinds: Classes, prefixes: Prefixes) -> DataFrame:
+    """sig, k1 of every set, once a task for equal sets."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in _sets(batches, size):
@@ -259,65 +263,120 @@ def signatures(docs: DataFrame, size: int, kinds: Classes, prefixes: Prefixes, o
                 sigs.append(sig)
                 keys.append(np.full(len(sig), key, np.int64))
             if sigs:
-                sig, key = np.concatenate(sigs), np.concatenate(keys)
-                if only is not None:
-                    keep = only.has(sig)
-                    sig, key = sig[keep], key[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(key)], ["sig", "k1"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(keys))], ["sig", "k1"])
 
     return docs.select("text").mapInArrow(read, "sig long, k1 long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Stored a1, a2, b1, b2 (keys of two sets) of the pairs lo, k1 whose sets are similar.
+def _owner(keys: np.ndarray, doc_ids: pa.Array) -> np.ndarray:
+    """Fingerprints of (set, document id), which single out the row that speaks for a set."""
+    ids = doc_ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return mix(mix(ids.view(np.uint64)) ^ keys.view(np.uint64))
+
+
+def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, prefixes: Prefixes, shared: DataFrame
+               ) -> DataFrame:
+    """Stored k1, k2, n, part, rest, sigs of the sets with a shared signature, once a node.
 
-    The sets in question are read from the texts. Each travels once a pair to its pivot ``lo``; a pivot of many pairs
-    is copied, so that no task gets more than PER_COPY sets for one copy.
+    A set is kept as the bytes of its sorted fingerprints: ``part`` holds those in the highest quarter of all values,
+    ``rest`` the others.
     """
-    pairs = stage(pairs, "pairs")
-    salts = pairs.groupBy("lo").agg(F.ceil(F.count("*") / PER_COPY).cast("int").alias("copies"))
-    asks = (pairs.join(salts, "lo").select("k1", "lo", F.pmod(F.xxhash64("k1"), F.col("copies")).cast("int").alias("copy"),
-                                           F.lit(1).alias("side")))
-    pivots = salts.select(F.col("lo").alias("k1"), "lo", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
-                          F.lit(0).alias("side"))
-    asks = stage(asks.unionByName(pivots), "asks")
-    wanted = filters.build(stage(asks.select("k1").distinct(), "asked"), "k1")
+    may_share = filters.build(shared, "sig")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            owner = _owner(b.column(0).to_numpy(zero_copy_only=False), b.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(owner.view(np.int64))], ["owner"])
+
+    owners = filters.build(stage(nodes.filter(F.col("n") >= prefixes.base).select("k1", "least").mapInArrow(
+        name, "owner long"), "owners"), "owner")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for _, sets in _sets(batches, size):
+        for b, sets in _sets(batches, size):
+            if not sets:
+                continue
             keys = [set_key(s) for s in sets]
-            may = wanted.has(np.array([k[0] for k in keys], np.int64).view(np.uint64))
-            rows = [i for i in np.flatnonzero(may).tolist() if not (keys[i] in seen or seen.add(keys[i]))]
+            speaks = owners.has(_owner(np.array([k[0] for k in keys], np.int64), b.column(1)))
+            flat, at = kinds.of(np.concatenate(sets)), 0
+            k1, k2, n, part, rest, sigs = [], [], [], [], [], []
+            for i, s in enumerate(sets):
+                kind, at = flat[at:at + len(s)], at + len(s)
+                if not speaks[i] or len(s) < prefixes.base or keys[i] in seen:
+                    continue
+                seen.add(keys[i])
+                sig = np.unique(prefixes.signatures(s, kind))
+                sig = sig[may_share.has(sig)]
+                if len(sig):
+                    cut = int(np.searchsorted(s, PART_FROM))
+                    k1.append(keys[i][0])
+                    k2.append(keys[i][1])
+                    n.append(len(s))
+                    part.append(s[cut:].tobytes())
+                    rest.append(s[:cut].tobytes())
+                    sigs.append(sig.view(np.int64))
+            ends = np.cumsum([0, *map(len, sigs)])
+            flat_sigs = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[i][0] for i in rows], pa.int64()), pa.array([keys[i][1] for i in rows], pa.int64()),
-                 pa.array([sets[i].tobytes() for i in rows], pa.binary())], ["k1", "k2", "prints"])
+                [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(part, pa.binary()),
+                 pa.array(rest, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat_sigs))],
+                ["k1", "k2", "n", "part", "rest", "sigs"])
+
+    return stage(docs.select("text", "doc_id").mapInArrow(
+        read, "k1 long, k2 long, n long, part binary, rest binary, sigs array<long>"), "candidates")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Stored a1, a2, b1, b2 (keys of two sets) of the pairs lo, k1 whose sets are similar.
+
+    Sizes come first. Then a quarter of both sets is compared: if all the rest could be common and that is still too
+    little, the pair is done. Only what passes is compared whole.
+    """
+    n = sets.groupBy("k1").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))  # one set a key but for collisions
+    other = n.select(F.col("k1").alias("lo"), F.col("n_least").alias("lo_least"), F.col("n_most").alias("lo_most"))
+    fit = (F.col("n_most") * 100 >= F.col("lo_least") * percent) & (F.col("lo_most") * 100 >= F.col("n_least") * percent)
+    pairs = stage(pairs.join(n, "k1").join(other, "lo").filter(fit).select("lo", "k1"), "pairs")
+    some = _compared(sets.select("k1", "k2", "n", F.col("part").alias("prints")), pairs, percent)
+    some = some.select(F.col("a1").alias("lo"), F.col("b1").alias("k1")).distinct()
+    whole = sets.select("k1", "k2", "n", F.concat("rest", "part").alias("prints"))
+    return _compared(whole, stage(some, "pairs"), percent)
+
 
-    found = docs.select("text").mapInArrow(read, "k1 long, k2 long, prints binary").repartition("k1").dropDuplicates(["k1", "k2"])
+def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may be similar if what ``prints`` leaves out of both sets were common as far as sizes allow.
+
+    A set travels once a pair to its pivot ``lo``; a pivot of many pairs is copied, so that no task gets more than
+    PER_COPY sets for one copy.
+    """
+    salts = pairs.groupBy("lo").agg(F.ceil(F.count("*") / PER_COPY).cast("int").alias("copies"))
+    asks = (pairs.join(salts, "lo").select("k1", "lo", F.pmod(F.xxhash64("k1"), F.col("copies")).cast("int").alias("copy"),
+                                           F.lit(1).alias("side")))
+    pivots = salts.select(F.col("lo").alias("k1"), "lo", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
+                          F.lit(0).alias("side"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, pivots = None, []
         for b in batches:
-            lo, copy, side, k1, k2 = (b.column(i).to_pylist() for i in range(5))
+            lo, copy, side, k1, k2, size = (b.column(i).to_pylist() for i in range(6))
             out = []
-            for i, data in enumerate(b.column(5)):
+            for i, data in enumerate(b.column(6)):
                 if (lo[i], copy[i]) != place:
                     place, pivots = (lo[i], copy[i]), []
-                s = np.frombuffer(data.as_py(), np.uint64)
+                s, n = np.frombuffer(data.as_py(), np.uint64), size[i]
                 if side[i] == 0:
-                    pivots.append((k1[i], k2[i], s))
+                    pivots.append((k1[i], k2[i], s, n))
                     continue
-                for a1, a2, p in pivots:
-                    if 100 * min(len(p), len(s)) >= percent * max(len(p), len(s)):
-                        both = len(np.intersect1d(p, s, assume_unique=True))
-                        if 100 * both >= percent * (len(p) + len(s) - both):
-                            out.append((a1, a2, k1[i], k2[i]))
+                for a1, a2, p, m in pivots:
+                    most = len(np.intersect1d(p, s, assume_unique=True)) + min(m - len(p), n - len(s))
+                    if 100 * most >= percent * (m + n - most):
+                        out.append((a1, a2, k1[i], k2[i]))
             yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(4)],
                                              ["a1", "a2", "b1", "b2"])
 
-    rows = (asks.join(found, "k1").select("lo", "copy", "side", "k1", "k2", "prints").repartition("lo", "copy")
-            .sortWithinPartitions("lo", "copy", "side"))
-    return stage(rows.mapInArrow(compare, "a1 long, a2 long, b1 long, b2 long"), "similar")
+    rows = (asks.unionByName(pivots).join(sets, "k1").select("lo", "copy", "side", "k1", "k2", "n", "prints")
+            .repartition("lo", "copy").sortWithinPartitions("lo", "copy", "side"))
+    return stage(rows.mapInArrow(compare, "a1 long, a2 long, b1 long, b2 long"), "compared")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -332,7 +391,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     rows = keyed(docs, size)
     nodes = stage(rows.filter("n > 0").groupBy("k1", "k2").agg(
-        F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("many")), "nodes")
+        F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.count("*").alias("many")), "nodes")
     found = _links(docs, nodes, size, Prefixes(percent), frequent)
     labels = components(stage(found, "links"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -352,15 +411,15 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, prefixes: Prefixes, fre
     shared = stage(ends.filter("lo < hi").select("sig", "lo"), "shared-signatures")
     if shared.limit(1).count() == 0:
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    again = signatures(docs, size, kinds, prefixes, filters.build(shared, "sig")).distinct()
-    index = stage(again.join(shared, "sig"), "index")
+    sets = candidates(docs, nodes, size, kinds, prefixes, shared)
+    index = stage(sets.select("k1", F.explode("sigs").alias("sig")).join(shared, "sig").select("sig", "lo", "k1"), "index")
 
     def ids(links: DataFrame) -> DataFrame:
         a = nodes.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("node").alias("a"))
         b = nodes.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("node").alias("b"))
         return links.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
 
-    star = verified(docs, index.filter("k1 <> lo").select("lo", "k1").distinct(), size, prefixes.percent)
+    star = verified(sets, index.filter("k1 <> lo").select("lo", "k1").distinct(), prefixes.percent)
     first = stage(ids(star), "star-links")
     labels = components(first)
     # where the stars leave several components in a signature, those outside its largest one meet the rest
@@ -374,7 +433,7 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, prefixes: Prefixes, fre
     pairs = (one.join(rest.select("sig", "k1", "label"), "sig").filter("of <> label")
              .select(F.least("x", "k1").alias("lo"), F.greatest("x", "k1").alias("k1")).distinct())
     pairs = pairs.join(index.select("lo", "k1").distinct(), ["lo", "k1"], "left_anti")
-    return first.unionByName(ids(verified(docs, pairs, size, prefixes.percent)))
+    return first.unionByName(ids(verified(sets, pairs, prefixes.percent)))
 
 
 ORACLE = r"""

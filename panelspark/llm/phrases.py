@@ -30,6 +30,9 @@ SPACE, STOP = b" \t", b".,;:!?\n\v\f\r"
 # Longest phrase, least count, factor of the score, percentage at which a longer phrase replaces a shorter
 LONGEST, LEAST, FACTOR, COVERED = 4, 30, 2_000_000, 80
 
+#: Fingerprints of one length that a task holds before it sends their counts.
+HELD = 1 << 20
+
 #: Buckets of a language whose best rows are found apart, before the best of all.
 RANK_BUCKETS = 64
 
@@ -63,10 +66,23 @@ def _pairs_pass(w: Words, first: np.ndarray, n: int, good: np.ndarray) -> np.nda
     return keep
 
 
+def _summed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> pa.RecordBatch:
+    """Counts of some blocks of texts by fingerprint, with the first pointer of each."""
+    prints, many, at = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(prints, kind="stable")  # pointers grow from block to block: the first stays the least
+    prints = prints[order]
+    starts = np.flatnonzero(np.diff(prints, prepend=~prints[:1])) if len(prints) else order
+    total = np.add.reduceat(many[order], starts) if len(prints) else many
+    return pa.RecordBatch.from_arrays(
+        [pa.array(prints[starts].view(np.int64)), pa.array(np.full(len(starts), n, np.int8)), pa.array(total),
+         pa.array(at[order][starts])], ["fp", "n_words", "count", "at"])
+
+
 def _counts(texts: DataFrame, lengths: tuple[int, ...], pairs: filters.Bloom | None = None) -> DataFrame:
     """fp, n_words, count, at (a pointer: task and number of the word) of every run; longer ones only with frequent pairs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 42
+        held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {n: [] for n in lengths}
         for w, _, code, salt in _blocks(batches):
             if pairs is not None:
                 start, prints = _runs(w, 2, code, salt)
@@ -77,11 +93,15 @@ def _counts(texts: DataFrame, lengths: tuple[int, ...], pairs: filters.Bloom | N
                 if pairs is not None:
                     keep = _pairs_pass(w, first, n, good)
                     first, prints = first[keep], prints[keep]
-                prints, where, count = np.unique(prints, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), n, np.int8)), pa.array(count),
-                     pa.array(at + first[where])], ["fp", "n_words", "count", "at"])
+                prints, where, many = np.unique(prints, return_index=True, return_counts=True)
+                held[n].append((prints, many, at + first[where]))
+                if sum(len(h[0]) for h in held[n]) > HELD:
+                    yield _summed(held[n], n)
+                    held[n] = []
             at += len(w.prints)
+        for n, rest in held.items():
+            if rest:
+                yield _summed(rest, n)
 
     rows = texts.mapInArrow(count, "fp long, n_words byte, count long, at long")
     return rows.groupBy("fp", "n_words").agg(F.sum("count").alias("count"), F.min("at").alias("at"))

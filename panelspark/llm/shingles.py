@@ -17,7 +17,7 @@ import pyarrow as pa
 BASE, RUN_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 #: Bytes of text taken in one step; only a single longer word makes a step longer.
-STEP = 1 << 21
+STEP = 1 << 19
 
 SPACE = b" \t\n\v\f\r"
 
@@ -144,7 +144,7 @@ def words(column: pa.Array, space: bytes = SPACE, stop: bytes = b"") -> Words:
     return Words(data, s, e, np.concatenate(prints), pieces, rows)
 
 
-def text_blocks(batch: pa.RecordBatch, place: int, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def text_blocks(batch: pa.RecordBatch, place: int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts (column ``place``) hold ``limit`` bytes at most, or a single longer text."""
     sizes = np.zeros(batch.num_rows, np.int64)
     column = batch.column(place)
