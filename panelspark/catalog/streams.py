@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.recurrence import span
 from ..session import scratch_path
+from ..sources import versioned
 from ..streaming import jobs
 from .registry import query, rnd, rounded
 from .tables import Tables, with_tables
@@ -31,17 +32,33 @@ def _done(query_) -> None:
     query_.awaitTermination()
 
 
-@query("stream_upsert", with_tables("SELECT company_id, date, open, high, low, close, volume FROM market_data", "market_data"))
+INCREMENTS = """inc AS (SELECT *, 0 AS batch FROM lineitem WHERE l_shipdate < DATE '1995-01-01'
+  UNION ALL SELECT *, 1 FROM lineitem WHERE l_shipdate BETWEEN DATE '1994-07-01' AND DATE '1996-12-31' AND l_linenumber <= 2
+  UNION ALL SELECT *, 2 FROM lineitem WHERE l_shipdate >= DATE '1996-07-01' AND l_linenumber <> 1),
+px AS (SELECT CAST(l_suppkey AS INT) AS company_id, CAST(l_shipdate AS DATE) AS date, batch, l_extendedprice / l_quantity AS px, l_quantity AS q,
+  (l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) AS k FROM inc)"""
+
+
+@query("stream_upsert", f"""WITH {INCREMENTS} SELECT company_id, date, arg_min(px, k) AS open, max(px) AS high, min(px) AS low,
+    arg_max(px, k) AS close, CAST(sum(q) AS BIGINT) AS volume FROM px GROUP BY company_id, date, batch
+    QUALIFY row_number() OVER (PARTITION BY company_id, date ORDER BY batch DESC) = 1""")
 def stream_upsert(t: Tables) -> DataFrame:
-    """Bars of each batch of lines replace the stored bars of their keys."""
+    """Bars of three overlapping deliveries of lines; a later bar of a key replaces the earlier one."""
     path, ckpt = _paths(t, "upsert")
+    landed = scratch_path(t.spark, "lines")
 
     def bars(batch: DataFrame) -> DataFrame:
         part = Tables(batch.sparkSession, t.folder)
         part.raw = lambda name: batch
         return part.market_data
-    _done(jobs.upsert_stream(_stream(t, "lineitem"), path, ckpt, bars))
-    return jobs.read_upserted(t.spark, path, ["company_id", "date"])
+    lines, day = t.raw("lineitem"), F.col("l_shipdate").cast("date")
+    for part in (lines.where(day < F.lit("1995-01-01")),
+                 lines.where(day.between("1994-07-01", "1996-12-31") & (F.col("l_linenumber") <= 2)),
+                 lines.where((day >= F.lit("1996-07-01")) & (F.col("l_linenumber") != 1))):
+        part.write.mode("append").parquet(landed)
+        _done(jobs.versioned_stream(jobs.file_stream(t.spark, landed, lines.schema), path, ckpt, ["company_id", "date"],
+                                    bars, compact_every=2))
+    return versioned.read_version(t.spark, path, ["company_id", "date"])
 
 
 @query("stream_dedup", "SELECT event_id, ts, CAST(user_id AS INT) AS user_id FROM events")
@@ -54,14 +71,48 @@ def stream_dedup(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop(jobs.BATCH)
 
 
+def _late_events(df: DataFrame) -> DataFrame:
+    return df.select("event_id", F.col("user_id").cast("int").alias("user_id"), F.col("ts").cast("date").alias("date"))
+
+
 @query("stream_late", """SELECT event_id, CAST(user_id AS INT) AS user_id, CAST(ts AS DATE) AS date, CAST(ts AS DATE) <= DATE '2024-01-15' AS is_late FROM events""")
 def stream_late(t: Tables) -> DataFrame:
-    """Events up to the stored mark of their user are flagged as late."""
+    """Events up to the stored mark of their user are kept apart."""
     path, ckpt = _paths(t, "late")
     marks = t.raw("events").select(F.col("user_id").cast("int").alias("user_id"), F.lit("2024-01-15").cast("date").alias("date")).distinct()
-    events = _stream(t, "events").select("event_id", F.col("user_id").cast("int").alias("user_id"), F.col("ts").cast("date").alias("date"))
+    events = _late_events(_stream(t, "events"))
     _done(jobs.late_stream(events, marks, "user_id", "date", path, ckpt))
-    return t.spark.read.parquet(path).drop(jobs.BATCH)
+    return jobs.read_late(t.spark, path, events.schema).drop(jobs.BATCH)
+
+
+LATE = """ev AS (SELECT event_id, CAST(user_id AS INT) AS user_id, CAST(ts AS DATE) AS date, event_id % 3 AS batch_id FROM events),
+mk AS (SELECT user_id, batch_id, max(date) AS d FROM ev GROUP BY ALL),
+lt AS (SELECT ev.*, coalesce(ev.date <= (SELECT max(d) FROM mk WHERE mk.user_id = ev.user_id AND mk.batch_id < ev.batch_id), false) AS is_late FROM ev)"""
+
+
+def _late_batches(t: Tables) -> tuple[str, DataFrame]:
+    """Three deliveries of events, each run to its end before the next lands."""
+    path, ckpt = _paths(t, "late")
+    landed = scratch_path(t.spark, "events")
+    events = t.raw("events")
+    for k in range(3):
+        events.where(F.col("event_id") % 3 == k).write.mode("append").parquet(landed)
+        stream = _late_events(jobs.file_stream(t.spark, landed, events.schema))
+        _done(jobs.late_stream(stream, None, "user_id", "date", path, ckpt))
+    return path, _late_events(events)
+
+
+@query("stream_late_batches", f"WITH {LATE} SELECT event_id, user_id, date, batch_id, is_late FROM lt")
+def stream_late_batches(t: Tables) -> DataFrame:
+    """Marks follow what earlier batches stored."""
+    path, like = _late_batches(t)
+    return jobs.read_late(t.spark, path, like.schema)
+
+
+@query("stream_late_counts", f"WITH {LATE} SELECT batch_id, count(*) AS n_rows, count(*) FILTER (is_late) AS n_late FROM lt GROUP BY batch_id")
+def stream_late_counts(t: Tables) -> DataFrame:
+    path, _ = _late_batches(t)
+    return t.spark.read.parquet(f"{path}/counts").select(F.col("batch_id").cast("long"), "n_rows", "n_late")
 
 
 @query("stream_ohlcv", """SELECT CAST(user_id AS INT) AS company_id, CAST(ts AS DATE) AS date, arg_min(value, (ts, event_id)) AS open, max(value) AS high,
@@ -95,13 +146,21 @@ def stream_news_window(t: Tables) -> DataFrame:
 
 
 @query("stream_ema", with_tables(f"""SELECT company_id, date, close, e.n, {rnd('e.y', 4)} AS ema, false AS is_late FROM e
-    JOIN market_data USING (company_id, date)""", "market_data", extra=recurrence_sql("e", "market_data", "close", "2.0::DOUBLE / 15")))
+    JOIN market_data USING (company_id, date)
+    UNION ALL SELECT m.company_id, m.date, m.close, z.n, {rnd('z.y', 4)}, true FROM market_data m JOIN (
+     SELECT company_id, max(n) AS n, arg_max(y, n) AS y FROM e WHERE date <= DATE '1996-06-30' GROUP BY 1) z USING (company_id)
+    WHERE m.date BETWEEN DATE '1996-06-01' AND DATE '1996-06-30'""", "market_data",
+                                 extra=recurrence_sql("e", "market_data", "close", "2.0::DOUBLE / 15")))
 def stream_ema(t: Tables) -> DataFrame:
-    """Bars are landed as files first; the stream keeps one small state per company."""
+    """Bars land in four deliveries, the third with some again; the stream keeps one small state per company."""
     path, ckpt = _paths(t, "ema")
     landed = scratch_path(t.spark, "bars")
-    t.market_data.write.mode("overwrite").parquet(landed)
-    bars = jobs.file_stream(t.spark, landed, t.market_data.schema)
-    _done(jobs.ema_stream(bars, path, ckpt, span(14)))
-    out = t.spark.read.parquet(path).drop(jobs.BATCH)
-    return rounded(out, {"ema": 4}, skip=("close",))
+    day, bars = F.col("date"), t.market_data
+    ends = [F.lit(d).cast("date") for d in ("1900-01-01", "1994-12-31", "1996-06-30", "1997-06-30", "2999-12-31")]
+    for k in range(4):
+        part = (day > ends[k]) & (day <= ends[k + 1])
+        if k == 2:
+            part |= day.between("1996-06-01", "1996-06-30")
+        bars.where(part).write.mode("append").parquet(landed)
+        _done(jobs.ema_stream(jobs.file_stream(t.spark, landed, bars.schema), path, ckpt, span(14)))
+    return rounded(jobs.read_ema(t.spark, path), {"ema": 4}, skip=("close",))

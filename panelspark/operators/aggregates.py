@@ -7,19 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import date_position, running_totals, stacked_position, with_value_bucket
+from .ordering import date_position, running_totals, stacked_position
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolated quantiles of a whole column, one row per prob.
 
-    Values are counted per distinct value, bucketed in order and accumulated
-    per bucket. Only the rows around the wanted ranks are picked.
+    Values are counted per distinct value and accumulated in order. Only the rows around the wanted ranks are picked.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(with_value_bucket(counts, "v"), "v", ["n"])
-    total = counts.agg(F.sum("n").alias("t")).select("t").scalar()
+    cum = running_totals(counts, "v", ["n"])
+    total = cum.agg(F.sum("n").alias("t")).select("t").scalar()
     ps = F.array(*[F.lit(float(p)) for p in probs])
     ranked = cum.select("v", "n", "n_before", F.explode(ps).alias("prob"))
     rank = F.col("prob") * (total - 1)
@@ -119,30 +118,28 @@ def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
 def classification_metrics(df: DataFrame, y: str, score: str, threshold: float = 0.5) -> DataFrame:
     """AUC, log loss, accuracy, precision, recall and F1 in one row.
 
-    AUC counts, for each distinct score, the negatives below it plus half of
-    those equal to it (ties get the average rank). Counts are summed per
-    distinct score before the running total.
+    The frame is read once, into positives and negatives per distinct score; every figure follows from these. AUC
+    counts, for each score, the negatives below it plus half of those equal to it (ties get the average rank).
     """
-    pos = F.col(y).cast("long")
-    hit = (F.col(score) >= threshold).cast("long")
-    p = F.least(F.greatest(F.col(score), F.lit(2.220446049250313e-16)),
-                F.lit(1 - 2.220446049250313e-16))
-    loss = -(pos * F.log(p) + (1 - pos) * F.log(1 - p))
-    per = df.groupBy(F.col(score).alias("_s")).agg(
-        F.sum(pos).alias("_pos"), F.sum(1 - pos).alias("_neg"))
-    cum = running_totals(with_value_bucket(per, "_s"), "_s", ["_neg"])
-    auc = cum.agg((F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / 2.0))
-                   / F.nullif(F.sum("_pos").cast("double") * F.sum("_neg"), F.lit(0.0))).alias("auc"))
+    pos, s = F.col(y).cast("long"), F.col("_s")
+    per = df.groupBy(F.col(score).alias("_s")).agg(F.sum(pos).alias("_pos"), F.sum(1 - pos).alias("_neg"))
+    cum = running_totals(per, "_s", ["_neg"])
+    p = F.least(F.greatest(s, F.lit(2.220446049250313e-16)), F.lit(1 - 2.220446049250313e-16))
+    hit = (s >= threshold).cast("long")
+    n = F.sum(F.col("_pos") + F.col("_neg")).cast("double")
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
 
     def share(a: Column, b: Column) -> Column:
         return F.coalesce(a / F.nullif(b.cast("double"), F.lit(0.0)), F.lit(0.0))
-    one = df.agg(F.avg(loss).alias("logloss"), F.avg((pos == hit).cast("double")).alias("accuracy"),
-                 F.sum(pos * hit).alias("tp"), F.sum((1 - pos) * hit).alias("fp"),
-                 F.sum(pos * (1 - hit)).alias("fn"))
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return one.select(auc.select("auc").scalar().alias("auc"), "logloss", "accuracy",
-                      share(tp, tp + fp).alias("precision"), share(tp, tp + fn).alias("recall"),
-                      share(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    one = cum.agg(
+        (F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / 2.0))
+         / F.nullif(F.sum("_pos").cast("double") * F.sum("_neg"), F.lit(0.0))).alias("auc"),
+        (-F.sum(F.col("_pos") * F.log(p) + F.col("_neg") * F.log(1 - p)) / n).alias("logloss"),
+        (F.sum(F.col("_pos") * hit + F.col("_neg") * (1 - hit)) / n).alias("accuracy"),
+        F.sum(F.col("_pos") * hit).alias("tp"), F.sum(F.col("_neg") * hit).alias("fp"),
+        F.sum(F.col("_pos") * (1 - hit)).alias("fn"))
+    return one.select("auc", "logloss", "accuracy", share(tp, tp + fp).alias("precision"),
+                      share(tp, tp + fn).alias("recall"), share(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
 def class_balance(df: DataFrame, y: str) -> DataFrame:
@@ -171,10 +168,10 @@ def decay_weights(df: DataFrame, half_life: int, key: str = "company_id",
     """
     place = stacked_position if by == "position" else date_position
     out = place(df, key, order)
-    n = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().cast("double")
+    n = F.col("n_rows").cast("double")
     q = 2.0 ** (-1.0 / half_life)
     mean = (1.0 - F.pow(F.lit(q), n)) / (n * (1.0 - q))
-    return out.withColumn("weight", F.pow(F.lit(q), n - 1 - F.col("position")) / mean)
+    return out.withColumn("weight", F.pow(F.lit(q), n - 1 - F.col("position")) / mean).drop("n_rows")
 
 
 def sample_weights(df: DataFrame, half_life: int | None = None, balance: bool = True,
@@ -198,10 +195,10 @@ def time_split(df: DataFrame, valid_size: float = 0.2, min_train: int = 200, gap
     """
     place = stacked_position if by == "position" else date_position
     out = place(df, key, order)
-    n = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    at = F.greatest(F.floor(n * (1.0 - valid_size)), F.lit(min_train))
+    at = F.greatest(F.floor(F.col("n_rows") * (1.0 - valid_size)), F.lit(min_train))
     pos = F.col("position")
-    return out.withColumn("part", F.when(pos < at - gap, "train").when(pos < at, "gap").otherwise("valid"))
+    part = F.when(pos < at - gap, "train").when(pos < at, "gap").otherwise("valid")
+    return out.withColumn("part", part).drop("n_rows")
 
 
 def split_by_share(df: DataFrame, share: float = 0.8, key: str = "company_id",

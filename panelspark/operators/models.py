@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..session import reliable_checkpoint
 from .aggregates import impute_mean
 from .calendar import next_sessions
-from .ordering import running_totals, with_value_bucket
 from .windows import price_path, shrink_clip, weekday_cycle
 
 # Calendar columns and suffixes of the exogenous choice.
@@ -211,12 +210,15 @@ def gbt_forecast(model: PipelineModel, df: DataFrame, features: Sequence[str], n
 
 
 def _numbered(df: DataFrame, salt: int, ids: Sequence[str], name: str) -> DataFrame:
-    """Number rows by the order of a salted hash, without one big sort."""
+    """Number rows by the order of a salted hash: counts per hash bucket, whose number is fixed, then inside each."""
     h = F.xxhash64(*ids, F.lit(salt))
-    per = df.select(*df.columns, h.alias("_h"), F.lit(1).alias("_one"))
-    bucket = F.shiftright(F.col("_h"), 48)
-    out = running_totals(per.withColumn("_bucket", bucket), "_h", ["_one"])
-    return out.withColumn(name, F.col("_one_before")).drop("_h", "_one", "_one_before")
+    rows = df.withColumn("_h", h).withColumn("_bucket", F.shiftright("_h", 48))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_bucket").orderBy("_h", *ids)
+    return (rows.withColumn("_r", F.row_number().over(inside)).join(starts, "_bucket")
+            .withColumn(name, F.col("_off") + F.col("_r") - 1).select(*df.columns, name))
 
 
 def with_shadows(df: DataFrame, features: Sequence[str], ids: Sequence[str], salt: int) -> DataFrame:

@@ -1,89 +1,72 @@
 """Positions and running totals over a whole table without one big task.
 
-An un-partitioned window would send every row to a single task. Here the order
-key is mapped to a monotone bucket, rows are first summed per distinct key
-(map-side), running totals are taken inside each bucket, and only the bucket
-totals, whose number is fixed in advance, are accumulated in one place.
+An un-partitioned window would send every row to a single task. Here sampled splitters cut the order keys into ranges of
+about equal size (``repartitionByRange``), whatever the type of the keys and however far apart their values lie. A row's
+place inside its range comes from the sorted range itself; only the totals of the ranges, one row each, are accumulated
+in one place. The ranged rows are stored once, so that counting and reading see the same ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Number of buckets; the totals table never has more rows than this (+1).
-BUCKETS = 1 << 16
+from ..session import reliable_checkpoint
 
+#: Bits of a row's number inside its partition in ``monotonically_increasing_id``.
+_PLACE_BITS = 33
 
-def _squash(x: Column) -> Column:
-    """Monotone compression, so a few extreme values do not empty the buckets."""
-    return F.signum(x) * F.log1p(F.abs(x))
 
+def in_ranges(df: DataFrame, order: Sequence[str], name: str = "ranges") -> DataFrame:
+    """Stored copy of the frame, with ``_part`` (ranges ascend) and ``_place`` (from 0 inside the range)."""
+    at = F.monotonically_increasing_id()
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at)
+    return reliable_checkpoint(cut.select(
+        *df.columns, F.shiftright("_at", _PLACE_BITS).alias("_part"),
+        F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place")), name)
 
-def value_bucket(x: Column, lo: Column, hi: Column, buckets: int = BUCKETS) -> Column:
-    """Monotone bucket of a number between the table's exact minimum and maximum."""
-    width = F.nullif(_squash(hi) - _squash(lo), F.lit(0.0))
-    return F.coalesce(F.floor((_squash(x) - _squash(lo)) / width * buckets), F.lit(0))
 
+def range_offsets(ranged: DataFrame, totals: Sequence[str] = ()) -> DataFrame:
+    """One row per range: ``_rows_off`` and ``_<total>_off`` of all ranges before it, ``_rows_all`` of the table."""
+    per = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(t).alias(t) for t in totals])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return per.select("_part", F.sum("_rows").over(every).alias("_rows_all"), *[
+        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c if c == '_rows' else '_' + c}_off")
+        for c in ("_rows", *totals)])
 
-def with_value_bucket(df: DataFrame, col: str, name: str = "_bucket") -> DataFrame:
-    x = F.col(col).cast("double")
-    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    return df.withColumn(name, value_bucket(x, lo, hi))
 
+def positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add ``position`` (from 0) in the given order and ``n_rows``, the rows of the table.
 
-def running_totals(df: DataFrame, order: str, totals: Sequence[str],
-                   bucket: str = "_bucket") -> DataFrame:
+    Two passes over the frame (splitters, then the ranges) and two over the stored ranges.
+    """
+    ranged = in_ranges(df, order)
+    offsets = F.broadcast(range_offsets(ranged))  # one row per range
+    return (ranged.join(offsets, "_part")
+            .select(*df.columns, (F.col("_rows_off") + F.col("_place")).alias("position"), F.col("_rows_all").alias("n_rows")))
+
+
+def running_totals(df: DataFrame, order: str, totals: Sequence[str]) -> DataFrame:
     """Add ``<total>_before``: the sum over all rows with a smaller order key.
 
-    ``df`` has one row per order key and a monotone bucket column.
+    ``df`` has one row per order key, so no range can hold more than its share.
     """
-    per = df.groupBy(bucket).agg(*[F.sum(t).alias(t) for t in totals])
-    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select(bucket, *[
-        F.coalesce(F.sum(t).over(w), F.lit(0)).alias(f"_{t}_off") for t in totals])
-    inside = (Window.partitionBy(bucket).orderBy(order)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    out = df.select("*", *[
-        F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"_{t}_in") for t in totals])
-    return (out.join(offsets, bucket)
-            .select(*df.columns, *[
-                (F.col(f"_{t}_off") + F.col(f"_{t}_in")).alias(f"{t}_before") for t in totals])
-            .drop(bucket))
+    ranged = in_ranges(df, [order])
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.select("*", *[F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"_{t}_in") for t in totals])
+    offsets = F.broadcast(range_offsets(ranged, totals).drop("_rows_off", "_rows_all"))  # one row per range
+    return (out.join(offsets, "_part")
+            .select(*df.columns, *[(F.col(f"_{t}_off") + F.col(f"_{t}_in")).alias(f"{t}_before") for t in totals]))
 
 
 def stacked_position(df: DataFrame, key: str = "company_id", order: str = "date") -> DataFrame:
-    """Add ``position`` (from 0) in the frame sorted by key, then order.
-
-    Keys are counted first; the running total over keys is bucketed by key
-    range. Inside a key the position is a row number over its own rows.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = running_totals(with_value_bucket(counts, key), key, ["_n"]).drop("_n")
-    w = Window.partitionBy(key).orderBy(order)
-    return (df.withColumn("_r", F.row_number().over(w)).join(offsets, key)
-            .withColumn("position", F.col("_n_before") + F.col("_r") - 1)
-            .drop("_r", "_n_before"))
+    """Positions in the frame sorted by key, then order."""
+    return positions(df, [key, order])
 
 
 def date_position(df: DataFrame, key: str = "company_id", order: str = "date") -> DataFrame:
-    """Add ``position`` (from 0) in the frame sorted by order, then key.
-
-    Dates are few, so their running total is one small window.
-    """
-    counts = df.groupBy(order).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(order, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # A day may hold very many companies: number them in key-range buckets.
-    b = F.floor(F.col(key) / 4096)
-    per = df.groupBy(F.col(order), b.alias("_kb")).agg(F.count(F.lit(1)).alias("_c"))
-    wd = Window.partitionBy(order).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(order, "_kb", F.coalesce(F.sum("_c").over(wd), F.lit(0)).alias("_kbo"))
-    wr = Window.partitionBy(order, "_kb").orderBy(key)
-    return (df.withColumn("_kb", b).withColumn("_r", F.row_number().over(wr))
-            .join(per, [order, "_kb"]).join(offsets, order)
-            .withColumn("position", F.col("_off") + F.col("_kbo") + F.col("_r") - 1)
-            .drop("_kb", "_r", "_kbo", "_off"))
+    """Positions in the frame sorted by order, then key."""
+    return positions(df, [order, key])

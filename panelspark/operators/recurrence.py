@@ -60,7 +60,7 @@ def span(n: int) -> float:
     return 2.0 / (n + 1.0)
 
 
-def indexed(df: DataFrame, key: str = "company_id", order: str = "date") -> DataFrame:
+def indexed(df: DataFrame, key: str = "company_id", order: str | list[str] = "date") -> DataFrame:
     """Add row number ``_i`` (from 0) and block ``_b`` per key."""
     w = Window.partitionBy(key).orderBy(order)
     return (df.withColumn("_i", F.row_number().over(w) - 1)

@@ -127,7 +127,6 @@ def test_substring_paths_agree_with_brute_force(spark):
     news = spark.createDataFrame(docs, "id int, text string")
     aliases = spark.createDataFrame(al, "company_id int, alias string")
     assert pairs(nw.alias_substrings(news, aliases)) == want
-    assert pairs(nw.alias_substrings(news, aliases, scan_limit=0)) == want
     tok = lambda s: re.findall(r"\w+", s)
     want = sorted({(i, c) for (i, t), (c, a) in itertools.product(docs, al)
                    if tok(a) and any(tok(t)[j:j + len(tok(a))] == tok(a) for j in range(len(tok(t))))})
@@ -140,7 +139,7 @@ def test_topic_paths_agree(spark):
     tags = [(i, rng.normal(size=8).tolist()) for i in range(25)] + [(30, [0.0] * 8)]
     vec, tag = (spark.createDataFrame(x, "id int, vector array<double>") for x in (v, tags))
     one = {r.news_article_id: r.context_tag_id for r in nw.best_topic(vec, tag).collect()}
-    two = {r.news_article_id: r.context_tag_id for r in nw.best_topic(vec, tag, inline_tags=3, block=4, salts=3).collect()}
+    two = {r.news_article_id: r.context_tag_id for r in nw.best_topic(vec, tag, block_bytes=300).collect()}
     cos = lambda a, b: np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b))
     want = {i: max(tags[:-1], key=lambda t: cos(x, t[1]))[0] for i, x in v}
     assert one == two == want
@@ -201,7 +200,7 @@ def test_stream_ema_keeps_state_and_flags_late_bars(spark):
         df = spark.createDataFrame(part, schema)
         df.coalesce(1).write.mode("append").parquet(f"{base}/in")
         jobs.ema_stream(jobs.file_stream(spark, f"{base}/in", df.schema), f"{base}/out", f"{base}/ckpt", 0.5).awaitTermination()
-    rows = spark.read.parquet(f"{base}/out").collect()
+    rows = jobs.read_ema(spark, f"{base}/out").collect()
     assert [r.close for r in rows if r.is_late] == [99.0]
     want, y = [], None
     for _, _, c in bars:
