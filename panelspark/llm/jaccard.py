@@ -8,9 +8,10 @@ loses (a group of c shingles with signatures of k stands for c - k + 1). Groups
 prefix holds a few combinations for each shingle that may be missing; sets are dealt to levels by size, those near a
 border to both, so that two similar sets always use the same groups.
 
-Sets that are equal are one node. Nodes that share signatures are first compared with the least node of the signature,
-then, where that leaves several components in a signature, across components. Sizes and a quarter of both sets decide
-most comparisons, whole sets the rest. Texts are read again for each step, so no texts are shuffled, and sets only of
+Sets that are equal are one node. Nodes are dealt to blocks by their least scrambled shingle, and two blocks that share a
+signature make a tile, in which the sets concerned are compared with each other by a product of 0/1 matrices: pairs are
+never rows, and a set travels once a tile. Blocks come alone first; signatures whose nodes are then one component are
+done. A quarter of each set decides most comparisons, whole sets the rest. Texts are read again for each step, so no texts are shuffled, and sets only of
 documents that share a signature.
 """
 
@@ -27,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.operators.ordering import running_totals
+
 from . import filters
 from .common import lookup_join, stage
 from .shingles import mix, text_blocks, words
@@ -51,8 +54,8 @@ COUNT_BITS, SLICE_LOG, FLUSH = 32, 12, 1 << 23
 #: Fingerprints from here on, a quarter of all, are compared first.
 PART_FROM = np.uint64(3 << 62)
 
-#: Sets compared with one copy of a pivot's set in a task.
-PER_COPY = 1024
+#: Shingles of a block and least weight of a set in it; columns of shared shingles multiplied at a time.
+BLOCK_WEIGHT, LEAST_WEIGHT, COLUMNS = 1 << 18, 1 << 10, 4096
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -277,10 +280,10 @@ def _owner(keys: np.ndarray, doc_ids: pa.Array) -> np.ndarray:
 
 def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, prefixes: Prefixes, shared: DataFrame
                ) -> DataFrame:
-    """Stored k1, k2, n, part, rest, sigs of the sets with a shared signature, once a node.
+    """Stored k1, k2, n, mark, part, rest, sigs of the sets with a shared signature, once a node.
 
     A set is kept as the bytes of its sorted fingerprints: ``part`` holds those in the highest quarter of all values,
-    ``rest`` the others.
+    ``rest`` the others. ``mark`` is the least of its scrambled fingerprints, which similar sets mostly share.
     """
     may_share = filters.build(shared, "sig")
 
@@ -300,7 +303,7 @@ def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, pre
             keys = [set_key(s) for s in sets]
             speaks = owners.has(_owner(np.array([k[0] for k in keys], np.int64), b.column(1)))
             flat, at = kinds.of(np.concatenate(sets)), 0
-            k1, k2, n, part, rest, sigs = [], [], [], [], [], []
+            k1, k2, n, mark, part, rest, sigs = [], [], [], [], [], [], []
             for i, s in enumerate(sets):
                 kind, at = flat[at:at + len(s)], at + len(s)
                 if not speaks[i] or len(s) < prefixes.base or keys[i] in seen:
@@ -313,70 +316,116 @@ def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, pre
                     k1.append(keys[i][0])
                     k2.append(keys[i][1])
                     n.append(len(s))
+                    mark.append(int(mix(s).min() >> np.uint64(1)))
                     part.append(s[cut:].tobytes())
                     rest.append(s[:cut].tobytes())
                     sigs.append(sig.view(np.int64))
             ends = np.cumsum([0, *map(len, sigs)])
             flat_sigs = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(part, pa.binary()),
-                 pa.array(rest, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat_sigs))],
-                ["k1", "k2", "n", "part", "rest", "sigs"])
+                [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(mark, pa.int64()),
+                 pa.array(part, pa.binary()), pa.array(rest, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat_sigs))],
+                ["k1", "k2", "n", "mark", "part", "rest", "sigs"])
 
     return stage(docs.select("text", "doc_id").mapInArrow(
-        read, "k1 long, k2 long, n long, part binary, rest binary, sigs array<long>"), "candidates")
+        read, "k1 long, k2 long, n long, mark long, part binary, rest binary, sigs array<long>"), "candidates")
 
 
-def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Stored a1, a2, b1, b2 (keys of two sets) of the pairs lo, k1 whose sets are similar.
+def blocks(sets: DataFrame) -> DataFrame:
+    """Stored k1, block: sets in the order of their marks, so that similar ones mostly share a block.
 
-    Sizes come first. Then a quarter of both sets is compared: if all the rest could be common and that is still too
-    little, the pair is done. Only what passes is compared whole.
+    A block holds 256 sets or 2^18 shingles, whichever comes first, and one set more at most.
     """
-    n = sets.groupBy("k1").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))  # one set a key but for collisions
-    other = n.select(F.col("k1").alias("lo"), F.col("n_least").alias("lo_least"), F.col("n_most").alias("lo_most"))
-    fit = (F.col("n_most") * 100 >= F.col("lo_least") * percent) & (F.col("lo_most") * 100 >= F.col("n_least") * percent)
-    pairs = stage(pairs.join(n, "k1").join(other, "lo").filter(fit).select("lo", "k1"), "pairs")
-    some = _compared(sets.select("k1", "k2", "n", F.col("part").alias("prints")), pairs, percent)
-    some = some.select(F.col("a1").alias("lo"), F.col("b1").alias("k1")).distinct()
-    whole = sets.select("k1", "k2", "n", F.concat("rest", "part").alias("prints"))
-    return _compared(whole, stage(some, "pairs"), percent)
-
-
-def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs that may be similar if what ``prints`` leaves out of both sets were common as far as sizes allow.
-
-    A set travels once a pair to its pivot ``lo``; a pivot of many pairs is copied, so that no task gets more than
-    PER_COPY sets for one copy.
+    keys = sets.select("k1", "mark", "n").groupBy("k1").agg(F.min("mark").alias("mark"), F.max("n").alias("n"))
+    rows = keys.select(F.struct("mark", "k1").alias("place"), F.greatest("n", F.lit(LEAST_WEIGHT)).alias("w"))
+    return stage(running_totals(rows, "place", ["w"]).select(
+        "place.k1", F.floor(F.col("w_before") / BLOCK_WEIGHT).alias("block")), "blocks")
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other."""
+    n = len(sets)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[token] > 1
+    row, token = row[shared], (np.cumsum(count > 1) - 1)[token[shared]]
+    order = np.argsort(token, kind="stable")
+    row, token = row[order], token[order]
+    out = np.zeros((n, n), np.float32)  # counts stay far below 2^24, so they are exact
+    for first in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        lo, hi = np.searchsorted(token, [first, first + COLUMNS])
+        m = np.zeros((n, COLUMNS), np.float32)
+        m[row[lo:hi], token[lo:hi] - first] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def _tiles(rows: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Compare all sets of a tile: rows a, b, k1, k2, n, prints (b last), sorted into tiles by Spark.
+
+    With ``spanning``, returns a1, a2, b1, b2 of links that connect what is connected in the tile. Otherwise ``prints`` is
+    part of a set, and what returns is a, b, k1, k2 of the sets that may have a similar one here, if all that was left out
+    were common as far as the sizes allow.
     """
-    salts = pairs.groupBy("lo").agg(F.ceil(F.count("*") / PER_COPY).cast("int").alias("copies"))
-    asks = (pairs.join(salts, "lo").select("k1", "lo", F.pmod(F.xxhash64("k1"), F.col("copies")).cast("int").alias("copy"),
-                                           F.lit(1).alias("side")))
-    pivots = salts.select(F.col("lo").alias("k1"), "lo", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
-                          F.lit(0).alias("side"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, pivots = None, []
-        for b in batches:
-            lo, copy, side, k1, k2, size = (b.column(i).to_pylist() for i in range(6))
-            out = []
-            for i, data in enumerate(b.column(6)):
-                if (lo[i], copy[i]) != place:
-                    place, pivots = (lo[i], copy[i]), []
-                s, n = np.frombuffer(data.as_py(), np.uint64), size[i]
-                if side[i] == 0:
-                    pivots.append((k1[i], k2[i], s, n))
-                    continue
-                for a1, a2, p, m in pivots:
-                    most = len(np.intersect1d(p, s, assume_unique=True)) + min(m - len(p), n - len(s))
-                    if 100 * most >= percent * (m + n - most):
-                        out.append((a1, a2, k1[i], k2[i]))
-            yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(4)],
-                                             ["a1", "a2", "b1", "b2"])
-
-    rows = (asks.unionByName(pivots).join(sets, "k1").select("lo", "copy", "side", "k1", "k2", "n", "prints")
-            .repartition("lo", "copy").sortWithinPartitions("lo", "copy", "side"))
-    return stage(rows.mapInArrow(compare, "a1 long, a2 long, b1 long, b2 long"), "compared")
+    def compare(tile: tuple[int, int], keys: list[tuple[int, int]], n: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
+        if len(sets) < 2:
+            return
+        size, left = np.array(n, np.int64), np.array(n, np.int64) - [len(s) for s in sets]
+        most = _overlaps(sets) + np.minimum(left[:, None], left[None, :])
+        near = 100 * most >= percent * (size[:, None] + size[None, :] - most)
+        np.fill_diagonal(near, False)
+        if not spanning:
+            yield from ((*tile, *keys[i]) for i in np.flatnonzero(near.any(axis=1)).tolist())
+            return
+        todo = set(range(len(sets)))
+        while todo:
+            wave = [todo.pop()]
+            while wave:
+                at = wave.pop()
+                for j in np.flatnonzero(near[at]).tolist():
+                    if j in todo:
+                        todo.remove(j)
+                        wave.append(j)
+                        yield (*keys[at], *keys[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, keys, n, sets = None, [], [], []
+        for batch in batches:
+            out: list[tuple] = []
+            a, b, k1, k2, size = (batch.column(i).to_pylist() for i in range(5))
+            for i, data in enumerate(batch.column(5)):
+                if (a[i], b[i]) != tile:
+                    if tile is not None:
+                        out += compare(tile, keys, n, sets)
+                    tile, keys, n, sets = (a[i], b[i]), [], [], []
+                if (k1[i], k2[i]) not in keys[-1:]:  # sorted: a set that came twice stands side by side
+                    keys.append((k1[i], k2[i]))
+                    n.append(size[i])
+                    sets.append(np.frombuffer(data.as_py(), np.uint64))
+            yield _four(out, names)
+        if tile is not None:
+            yield _four(list(compare(tile, keys, n, sets)), names)
+
+    names = ["a1", "a2", "b1", "b2"] if spanning else ["a", "b", "k1", "k2"]
+    dealt = (rows.select("a", "b", "k1", "k2", "n", "prints").repartition("a", "b")
+             .sortWithinPartitions("a", "b", "k1", "k2"))
+    return stage(dealt.mapInArrow(run, ", ".join(f"{x} long" for x in names)), "tiles")
+
+
+def _four(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], names)
+
+
+def linked(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Stored a1, a2, b1, b2: links between similar sets that meet in a tile; ``members`` has a, b, k1.
+
+    A quarter of each set comes first; whole sets travel only where that leaves a partner possible.
+    """
+    members = stage(members, "members")
+    part = members.join(sets.select("k1", "k2", "n", F.col("part").alias("prints")), "k1")
+    some = _tiles(part, percent, spanning=False)
+    whole = some.join(sets.select("k1", "k2", "n", F.concat("rest", "part").alias("prints")), ["k1", "k2"])
+    return _tiles(whole, percent, spanning=True)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -408,32 +457,31 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, prefixes: Prefixes, fre
     """Links a, b between nodes: enough of them to connect all that are connected."""
     kinds = classes(frequencies(docs, size, frequent))
     ends = signatures(docs, size, kinds, prefixes).groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"))
-    shared = stage(ends.filter("lo < hi").select("sig", "lo"), "shared-signatures")
+    shared = stage(ends.filter("lo < hi").select("sig"), "shared-signatures")
     if shared.limit(1).count() == 0:
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     sets = candidates(docs, nodes, size, kinds, prefixes, shared)
-    index = stage(sets.select("k1", F.explode("sigs").alias("sig")).join(shared, "sig").select("sig", "lo", "k1"), "index")
+    index = sets.select("k1", F.explode("sigs").alias("sig")).join(shared, "sig").select("sig", "k1").distinct()
 
     def ids(links: DataFrame) -> DataFrame:
         a = nodes.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("node").alias("a"))
         b = nodes.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("node").alias("b"))
         return links.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
 
-    star = verified(sets, index.filter("k1 <> lo").select("lo", "k1").distinct(), prefixes.percent)
-    first = stage(ids(star), "star-links")
-    labels = components(first)
-    # where the stars leave several components in a signature, those outside its largest one meet the rest
+    # first every block by itself: what is alike is mostly there
+    where = stage(index.join(blocks(sets), "k1").select("sig", "k1", "block"), "index")
+    own = where.select(F.col("block").alias("a"), F.col("block").alias("b"), "k1").distinct()
+    near = stage(ids(linked(sets, own, prefixes.percent)), "block-links")
+    labels = components(near)
     known = nodes.join(labels, "node", "left").groupBy("k1").agg(F.min(F.coalesce("label", "node")).alias("label"))
-    where = stage(index.select("sig", "k1").join(known, "k1"), "labelled-index")
-    parts = where.groupBy("sig", "label").agg(F.count("*").alias("n")).groupBy("sig").agg(
-        F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts"))
-    open_ = stage(parts.filter("parts > 1").select("sig", F.col("top.label").alias("top")), "open-signatures")
-    rest = stage(where.join(open_, "sig"), "open-index")
-    one = rest.filter("label <> top").select("sig", F.col("k1").alias("x"), F.col("label").alias("of"))
-    pairs = (one.join(rest.select("sig", "k1", "label"), "sig").filter("of <> label")
-             .select(F.least("x", "k1").alias("lo"), F.greatest("x", "k1").alias("k1")).distinct())
-    pairs = pairs.join(index.select("lo", "k1").distinct(), ["lo", "k1"], "left_anti")
-    return first.unionByName(ids(verified(sets, pairs, prefixes.percent)))
+    # then, for signatures that still join several components, the blocks of one signature meet each other
+    where = stage(where.join(known, "k1").select("sig", "k1", "block", "label"), "labelled-index")
+    open_ = where.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("sig")
+    rest = stage(where.join(open_, "sig").select("sig", "k1", "block"), "open-index")
+    others = rest.select("sig", F.col("block").alias("other")).distinct()
+    met = (rest.join(others, "sig").filter("block <> other")
+           .select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "k1").distinct())
+    return near.unionByName(stage(ids(linked(sets, met, prefixes.percent)), "tile-links"))
 
 
 ORACLE = r"""
