@@ -132,12 +132,17 @@ def _texts_of(texts: DataFrame, frequent: filters.Bloom, pairs: filters.Bloom) -
 
     The row with a NULL phrase holds the number of all words of its language.
     """
+    def send(langs: list[str], code: np.ndarray, phrase: pa.Array, n: int, count: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()).take(pa.array(code)), phrase.cast(pa.binary()),
+             pa.array(np.full(len(code), n, np.int32)), pa.array(count.astype(np.int64))], ["lang", "phrase", "n_words", "count"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w, langs, code, salt in _blocks(batches):
             rep = _word_classes(w)
             lang = code[w.rows]
-            out: list[tuple[str, bytes | None, int, int]] = [
-                (langs[i], None, 0, int(c)) for i, c in enumerate(np.bincount(lang, minlength=len(langs)).tolist())]
+            yield send(langs, np.arange(len(langs)), pa.nulls(len(langs), pa.large_binary()), 0,
+                       np.bincount(lang, minlength=len(langs)))
             start, prints = _runs(w, 2, code, salt)
             good = np.zeros(len(w.prints) + LONGEST, bool)
             good[start[pairs.has(prints)]] = True
@@ -154,13 +159,10 @@ def _texts_of(texts: DataFrame, frequent: filters.Bloom, pairs: filters.Bloom) -
                 for k in range(n):
                     differ |= rep[first + k] != rep[pointer + k][inverse]
                 count = count - np.bincount(inverse[differ], minlength=len(count))
-                out += [(langs[lang[p]], w.text(p, n), n, c) for p, c in zip(pointer.tolist(), count.tolist())]
-                out += [(langs[lang[p]], w.text(p, n), n, 1) for p in first[differ].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.string()),
-                 pa.array([o[1] for o in out], pa.binary()),
-                 pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], pa.int64())],
-                ["lang", "phrase", "n_words", "count"])
+                yield send(langs, lang[pointer], w.texts(pointer, n), n, count)
+                if differ.any():  # collisions: other texts under the same fingerprint, counted by themselves
+                    other = first[differ]
+                    yield send(langs, lang[other], w.texts(other, n), n, np.ones(len(other)))
 
     rows = texts.mapInArrow(read, "lang string, phrase binary, n_words int, count long")
     rows = rows.withColumn("phrase", F.col("phrase").cast("string"))

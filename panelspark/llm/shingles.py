@@ -85,6 +85,20 @@ class Words:
             return first, mix(self.prints + np.uint64(1))
         return first, mix(run_values(self.prints, first, first + n, RUN_BASE) + np.uint64(n))
 
+    def texts(self, first: np.ndarray, n: int) -> pa.Array:
+        """The runs of ``n`` words from each word of ``first`` on, their words joined by single spaces."""
+        size = (self.ends - self.starts)
+        long = [size[first + k] for k in range(n)]
+        total = sum(long) + (n - 1) if len(first) else np.zeros(0, np.int64)
+        offsets = np.concatenate([[0], np.cumsum(total)]).astype(np.int64)
+        out = np.full(int(offsets[-1]), 32, np.uint8)
+        at = offsets[:-1].copy()
+        for k in range(n):
+            inside = np.arange(int(long[k].sum()), dtype=np.int64) - np.repeat(np.cumsum(long[k]) - long[k], long[k])
+            out[np.repeat(at, long[k]) + inside] = self.data[np.repeat(self.starts[first + k], long[k]) + inside]
+            at += long[k] + 1
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
     def text(self, word: int, n: int) -> bytes:
         """The ``n`` words from ``word`` on, joined by single spaces."""
         return b" ".join(self.data[s:e].tobytes() for s, e in zip(
