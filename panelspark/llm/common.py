@@ -37,6 +37,20 @@ def held_out(key: str | Column, mod: int, remainder: int) -> Column:
     return F.coalesce(crc_remainder(key, mod) == remainder, F.lit(False))
 
 
+def fresh(names: list[str], base: str) -> str:
+    """A column name like ``base`` that no given column has, in any case of its letters."""
+    taken = {n.lower() for n in names}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Whole rows as a struct ``row`` beside the named columns, so that added columns cannot meet names of the input."""
+    whole = F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns])
+    return docs.select(whole.alias("row"), *columns)
+
+
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a stored lookup table by NULL-safe keys.

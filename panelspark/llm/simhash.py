@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lookup_join, stage, text_bytes
+from .common import lookup_join, packed, stage, text_bytes
 
 #: Words of a shingle, seed of its hash, bits by which linked fingerprints differ at most.
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -28,6 +28,9 @@ SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints of a segment value up to which they are compared one by one; above, whole fingerprints are looked up.
 HOT_BUCKET = 64
 
+#: Bytes of the bitmaps of kept rows up to which they are sent to the tasks.
+BITMAP_BYTES = 1 << 26
+
 #: Shingles hashed in one step; bounds the memory of a very long text.
 STEP = 65_536
 
@@ -174,10 +177,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component with its columns as they were: the smallest id (NULL last), then the first row."""
-    rows = stage(with_fingerprints(docs, text_col), "with-fingerprints")
-    kinds = stage(classes(rows.select("_fp")), "classes")
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_rid").alias("rid"))
-    best = rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(order).alias("best")).join(kinds, "fp")
-    keep = best.groupBy("class").agg(F.min("best").alias("best")).select(F.col("best.rid").alias("_rid"))
-    return rows.join(keep, "_rid", "left_semi").select(*docs.columns)
+    """One row of each component with its columns as they were: the smallest id (NULL last), then the first row.
+
+    Input columns may have any names. Rows that are kept are numbered in bitmaps, one per task that wrote the rows, so
+    whole rows are not shuffled as long as the bitmaps are small enough to send.
+    """
+    rows = stage(with_fingerprints(packed(docs, text_col), text_col).select("row", "_rid", "_fp"), "with-fingerprints")
+    narrow = rows.select("_rid", "_fp", F.col("row")[id_col].alias("id"))
+    kinds = stage(classes(narrow.select("_fp")), "classes")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", F.col("_rid").alias("rid"))
+    best = narrow.groupBy(F.col("_fp").alias("fp")).agg(F.min(order).alias("best")).join(kinds, "fp")
+    keep = stage(best.groupBy("class").agg(F.min("best").alias("best")).select(F.col("best.rid").alias("_rid")), "kept")
+    maps = stage(_bitmaps(keep), "bitmaps")
+    size = maps.agg(F.sum(F.octet_length("bits")).alias("b")).first()["b"] or 0
+    if size > BITMAP_BYTES:
+        return rows.join(keep, "_rid", "left_semi").select("row.*")
+    nth = F.col("_rid").bitwiseAND(F.lit((1 << 40) - 1))
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(nth / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = rows.withColumn("_w", F.shiftright("_rid", 40)).join(F.broadcast(maps), "_w")
+    return marked.filter(F.call_function("shiftright", byte, (nth % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).select("row.*")
+
+
+def _bitmaps(keep: DataFrame) -> DataFrame:
+    """_w (the task that numbered the rows) and bits, one bit for each of its rows up to the last that is kept."""
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, at = None, []
+        for b in batches:
+            rid = b.column(1).to_numpy(zero_copy_only=False)
+            task, nth = rid >> 40, rid & ((1 << 40) - 1)
+            cuts = [0, *(np.flatnonzero(np.diff(task)) + 1).tolist(), len(task)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if hi == lo:
+                    continue
+                if task[lo] != own:
+                    if own is not None:
+                        yield _bits(own, at)
+                    own, at = int(task[lo]), []
+                at.append(nth[lo:hi])
+        if own is not None:
+            yield _bits(own, at)
+
+    return (keep.select(F.shiftright("_rid", 40).alias("_w"), "_rid").repartition("_w").sortWithinPartitions("_w")
+            .mapInArrow(fill, "_w long, bits binary"))
+
+
+def _bits(task: int, at: list[np.ndarray]) -> pa.RecordBatch:
+    nth = np.concatenate(at)
+    flags = np.zeros(int(nth.max()) + 1, bool)
+    flags[nth] = True
+    return pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array(
+        [np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["_w", "bits"])
