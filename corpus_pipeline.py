@@ -1,7 +1,7 @@
 """Corpus pipeline: stages of operators over documents, each written as Parquet and read again by the next.
 
-Every stage but the last returns the columns of its input. NULLs, empty texts, repeated rows and extra columns are
-handled as the operators say; an empty table passes through.
+Every stage but the last returns the columns of its input, whatever other names these have: rows travel whole beside what
+a stage adds. NULLs, empty texts and repeated rows are handled as the operators say; an empty table passes through.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import language, mixing, packing, quality, simhash
-from panelspark.llm.common import stage, table
+from panelspark.llm.common import packed, stage, table
 
 #: Score below which the quality classifier rejects a document.
 MIN_QUALITY = 0.3
@@ -22,14 +22,14 @@ MIN_QUALITY = 0.3
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose labelled neighbours vote for quality; the labels are those of kept and lost documents alike."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, out_col="_quality").filter(F.col("_quality") >= MIN_QUALITY).select(*docs.columns)
+    rows = quality.score(packed(docs, "text"), model)
+    return rows.filter(F.col("quality_score") >= MIN_QUALITY).select("row.*")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the table's own texts teach; texts without letters go."""
-    out = ("_lang", "_share")
-    rows = language.predict(docs, language.train(docs), out_cols=out)
-    return rows.filter(language.kept(rows, cols=out)).select(*docs.columns)
+    rows = language.predict(packed(docs, "text"), language.train(docs))
+    return rows.filter(language.kept(rows)).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +38,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice. Rows with equal ids share their fate."""
-    uses = stage(mixing.mix(docs).select("source", "size", F.col("doc_id").alias("_id"), "copies"), "mix")
-    uses = uses.groupBy("_id", F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"))
-    match = docs["doc_id"].eqNullSafe(uses["_id"]) & docs["source"].eqNullSafe(uses["_source"])
-    return (docs.join(uses, match).filter(F.col("_copies") > 0)
-            .withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+    """Documents as often as the mix takes them: not at all, once or twice. Equal rows share their fate."""
+    return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
