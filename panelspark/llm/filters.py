@@ -39,7 +39,7 @@ class Bloom:
         return found
 
 
-def build(prints: DataFrame, column: str, most_bits: int = MOST_BITS) -> Bloom:
+def build(prints: DataFrame, column: str, most_bits: int = MOST_BITS, key_bits: int = KEY_BITS) -> Bloom:
     """Filter of a stored table's fingerprints (longs).
 
     Its size follows the row count up to ``most_bits``; beyond it more strangers pass, so that users must check
@@ -48,7 +48,7 @@ def build(prints: DataFrame, column: str, most_bits: int = MOST_BITS) -> Bloom:
     n = prints.count()
     if n == 0:
         return Bloom(None, 0)
-    log_bits = min(max(KEY_BITS * n, 1 << 16).bit_length(), most_bits.bit_length() - 1)
+    log_bits = min(max(key_bits * n, 1 << 16).bit_length(), most_bits.bit_length() - 1)
     slice_log = min(SLICE_BITS.bit_length() - 1, log_bits)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

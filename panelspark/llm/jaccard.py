@@ -39,7 +39,10 @@ from .simhash import components
 SHINGLE, PERCENT = 4, 85
 
 #: Documents from which a shingle is frequent (signatures of two), and the factor to the next class (of three).
-FREQUENT, NEXT_CLASS = 32, 32
+FREQUENT, NEXT_CLASS = 4, 64
+
+#: Filter bits of a shared signature: a set has many signatures, and one stranger among them would keep it.
+SHARED_BITS = 32
 
 #: Frequent shingles kept at most; above, FREQUENT is doubled until they fit. This moves work, not results.
 MOST_FREQUENT = 16_000_000
@@ -285,7 +288,7 @@ def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, pre
     A set is kept as the bytes of its sorted fingerprints: ``part`` holds those in the highest quarter of all values,
     ``rest`` the others. ``mark`` is the least of its scrambled fingerprints, which similar sets mostly share.
     """
-    may_share = filters.build(shared, "sig")
+    may_share = filters.build(shared, "sig", key_bits=SHARED_BITS)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -30,8 +30,11 @@ SPACE, STOP = b" \t", b".,;:!?\n\v\f\r"
 # Longest phrase, least count, factor of the score, percentage at which a longer phrase replaces a shorter
 LONGEST, LEAST, FACTOR, COVERED = 4, 30, 2_000_000, 80
 
+#: Bytes of text looked at together, unless a single text is longer.
+BLOCK_BYTES = 1 << 20
+
 #: Fingerprints of one length that a task holds before it sends their counts.
-HELD = 1 << 20
+HELD = 1 << 19
 
 #: Buckets of a language whose best rows are found apart, before the best of all.
 RANK_BUCKETS = 64
@@ -42,10 +45,11 @@ def _text_and_language(docs: DataFrame, text_col: str, lang_col: str) -> DataFra
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str], np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES
+            ) -> Iterator[tuple[Words, list[str], np.ndarray, np.ndarray]]:
     """Words of a block of texts, its languages, the number of each text's language, and the languages' hashes."""
     for batch in batches:
-        for b in text_blocks(batch, 0):
+        for b in text_blocks(batch, 0, limit):
             names = b.column(1).dictionary_encode()
             langs = names.dictionary.to_pylist()
             salt = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in langs], np.uint64)
