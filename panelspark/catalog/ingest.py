@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.reads import drop_all_null_columns
+from ..operators import selections as sl
 from ..plans import statements as st
+from ..session import scratch_path
 from ..sources import landed as ld
 from .registry import query, rounded
 from .tables import STATEMENT_HEADERS, Tables, with_tables
@@ -80,6 +81,28 @@ def stmt_transpose(t: Tables) -> DataFrame:
     return ld.statement_wide(ld.statement_rows(t.statement_cells), list(NORMALISED.values()))
 
 
+OVERLAP = """lapped AS (SELECT company_id, page, kwartal, header, cell, nth FROM statement_cells
+  WHERE NOT (kwartal LIKE 'IV Q%' AND nth = 7 AND company_id % 5 = 0)
+ UNION ALL SELECT company_id, page + 1, kwartal, header, '7,0', nth FROM statement_cells WHERE kwartal LIKE 'IV Q%'
+ UNION ALL SELECT company_id, page + 1, kwartal, 'Liczba akcji (tys. szt.)', '9,0', 99 FROM statement_cells WHERE kwartal LIKE 'IV Q%' AND nth = 0)"""
+
+
+@query("stmt_overlap", with_tables(f"""SELECT company_id, kwartal, header, replace(replace(cell, chr(160), ''), ',', '.')::DOUBLE AS value FROM lapped
+    QUALIFY page = min(page) OVER (PARTITION BY company_id, kwartal)""", "statement_cells", extra=OVERLAP))
+def stmt_overlap(t: Tables) -> DataFrame:
+    """Every fourth quarter shows again on the next page, with other values and headers that its first page lacks."""
+    c = t.statement_cells
+    last, again = F.col("kwartal").like("IV Q%"), c.withColumn("page", F.col("page") + 1).withColumn("cell", F.lit("7,0"))
+    lapped = (c.where(~(last & (F.col("nth") == 7) & (F.col("company_id") % 5 == 0))).unionByName(again.where(last))
+              .unionByName(again.where(last & (F.col("nth") == 0)).withColumns(
+                  {"header": F.lit("Liczba akcji (tys. szt.)"), "cell": F.lit("9,0"), "nth": F.lit(99)})))
+    rows = ld.statement_rows(lapped)
+    names = F.create_map(*[F.lit(x) for h, n in NORMALISED.items() for x in (n, h)])
+    quarter = F.element_at(F.array(*map(F.lit, ("I", "II", "III", "IV"))), F.quarter("date"))
+    return rows.select("company_id", F.concat_ws(" ", quarter, F.lit("Q"), F.year("date")).alias("kwartal"),
+                       names[F.col("header")].alias("header"), "value")
+
+
 @query("quarter_label", with_tables("SELECT company_id, date, kwartal FROM (SELECT DISTINCT company_id, kwartal FROM statement_cells) "
                                     "JOIN (SELECT company_id AS c, date FROM fundamentals) f ON c = company_id AND "
                                     "kwartal = ['I', 'II', 'III', 'IV'][quarter(date)] || ' Q ' || year(date)", "statement_cells"))
@@ -105,17 +128,18 @@ def _rank_sql(cands: list[str], exact: bool = True, prefix: bool = True) -> str:
 
 
 HEADS = "heads AS (SELECT company_id, header, CASE header " + " ".join(
-    f"WHEN '{h}' THEN '{n}'" for h, n in NORMALISED.items()) + " END AS norm FROM statement_cells GROUP BY company_id, header)"
+    f"WHEN '{h}' THEN '{n}'" for h, n in NORMALISED.items()) + " END AS norm, min(nth) AS nth FROM statement_cells GROUP BY company_id, header)"
 
 
 @query("candidate_pick", with_tables(" UNION ALL ".join(
-    f"SELECT company_id, '{m}' AS measure, arg_min(norm, ({_rank_sql(c)}) * 100 + rn) AS header FROM (SELECT *, row_number() OVER "
-    f"(PARTITION BY company_id ORDER BY norm) AS rn FROM heads) WHERE ({_rank_sql(c)}) IS NOT NULL GROUP BY company_id"
+    f"SELECT company_id, '{m}' AS measure, arg_min(norm, ({_rank_sql(c)}) * 100 + nth) AS header FROM (SELECT * "
+    f"FROM heads) WHERE ({_rank_sql(c)}) IS NOT NULL GROUP BY company_id"
     for m, c in st.BANK_CANDIDATES.items()), "statement_cells", extra=HEADS))
 def candidate_pick(t: Tables) -> DataFrame:
-    heads = t.statement_cells.select("company_id", "header").distinct().withColumn("header", tx.normalise_header("header"))
+    heads = (t.statement_cells.groupBy("company_id", "header").agg(F.min("nth").alias("nth"))
+             .withColumn("header", tx.normalise_header("header")))
     picked = heads.groupBy("company_id").agg(*[
-        st.pick(c, prefix=True, value="header").alias(m) for m, c in st.BANK_CANDIDATES.items()])
+        st.pick(c, prefix=True, value="header", place="nth").alias(m) for m, c in st.BANK_CANDIDATES.items()])
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"{m}.v").alias("header")) for m in st.BANK_CANDIDATES])
     return (picked.select("company_id", F.explode(pairs).alias("p")).select("company_id", "p.*")
             .where(F.col("header").isNotNull()))
@@ -142,18 +166,86 @@ def map_sector(t: Tables) -> DataFrame:
     return st.map_sector(ld.statement_rows(t.statement_cells), t.companies)
 
 
+BRANCH_ROWS = {  # normalised header: (measure, companies that report it)
+    st.REVENUE[0]: ("revenue", "true"), st.INSURANCE_PREMIUM[0]: ("gross_profit", "company_id % 5 IN (0, 1)"),
+    st.INSURANCE_INVESTMENT[0]: ("net_profit", "company_id % 5 IN (0, 2)"), st.BANK_RESULT[0]: ("operating_profit", "company_id % 7 = 0"),
+    st.BANK_INTEREST[0]: ("gross_profit", "company_id % 7 IN (1, 2, 0)"), st.BANK_FEES[0]: ("net_profit", "company_id % 7 IN (2, 3)"),
+    st.OPERATING[0] + "x": ("operating_profit", "true"), st.TECHNICAL[0] + "x": ("net_profit", "true"),
+    st.EBITDA[0]: ("ebitda", "company_id % 2 = 0"), st.EBIT[0]: ("operating_profit", "true"), st.AMORTISATION[0]: ("revenue", "true")}
+BRANCH_SECTOR = "CASE WHEN company_id % 3 = 0 THEN 7 WHEN company_id % 3 = 1 THEN 22 ELSE 1 END"
+
+
+@query("sector_branches", with_tables("""SELECT company_id, date, CASE
+    WHEN sector = 22 AND company_id % 5 IN (0, 1, 2) THEN CASE WHEN company_id % 5 IN (0, 1) THEN gross_profit ELSE 0 END + CASE WHEN company_id % 5 IN (0, 2) THEN net_profit ELSE 0 END
+    WHEN sector = 7 AND company_id % 7 = 0 THEN operating_profit
+    WHEN sector = 7 AND company_id % 7 IN (2, 3) THEN CASE WHEN company_id % 7 = 2 THEN gross_profit ELSE 0 END + net_profit
+    WHEN sector = 7 THEN CASE WHEN company_id % 7 = 1 THEN gross_profit END ELSE revenue END AS revenue,
+    CASE sector WHEN 22 THEN net_profit WHEN 7 THEN NULL ELSE operating_profit END AS operating_profit,
+    CASE WHEN sector <> 1 THEN NULL WHEN company_id % 2 = 0 THEN ebitda ELSE operating_profit + revenue END AS ebitda
+    FROM (SELECT *, """ + BRANCH_SECTOR + """ AS sector FROM fundamentals)""", "fundamentals"))
+def sector_branches(t: Tables) -> DataFrame:
+    """Companies dealt to banks, insurers and others, with the headers that lead into every branch of the rules."""
+    heads = F.array(*[F.when(F.expr(cond), F.struct(F.lit(h).alias("header"), F.col(m).alias("value")))
+                      for h, (m, cond) in BRANCH_ROWS.items()])
+    rows = (t.fundamentals.select("company_id", "date", F.explode(F.array_compact(heads)).alias("h"))
+            .select("company_id", "date", "h.header", "h.value"))
+    dealt = t.companies.withColumn("company_id", F.col("id")).withColumn("sector_id", F.expr(BRANCH_SECTOR))
+    out = st.map_sector(rows, dealt.drop("company_id"))
+    return out.select("company_id", "date", "revenue", "operating_profit", "ebitda")
+
+
 PARAS = """list_filter(list_transform(regexp_extract_all(body, '(?s)<p>(.*?)</p>', 1), lambda p: trim(regexp_replace(p, '<[^>]*>', '', 'g'), ' ')), lambda p: p <> '')"""
 
 
-@query("article_extract", with_tables(f"""SELECT page_id, url, CAST(d AS DATE) AS date, headline,
-    CASE WHEN len(regexp_extract_all(body, '(?s)<p>(.*?)</p>', 1)) > 0 THEN array_to_string({PARAS}, chr(10))
-     ELSE trim(regexp_replace(body, '<[^>]*>', '', 'g'), ' ') END AS content FROM (SELECT page_id, url,
+def _plain(expr: str) -> str:
+    """SQL text that replaces the character references of the pages."""
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        expr = f"replace({expr}, '{name}', '{char}')"
+    return expr
+
+
+CONTENT = f"""CASE WHEN len(regexp_extract_all(body, '(?s)<p>(.*?)</p>', 1)) > 0 THEN array_to_string({PARAS}, chr(10))
+     ELSE trim(regexp_replace(body, '<[^>]*>', '', 'g'), ' ') END"""
+
+
+@query("article_extract", with_tables(f"""SELECT page_id, url, CAST(d AS DATE) AS date, {_plain('headline')} AS headline,
+    {_plain(CONTENT)} AS content FROM (SELECT page_id, url,
      regexp_extract(html, '<meta property="article:published_time" content="([^"]*)"', 1) AS d, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS headline,
      regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM article_pages) WHERE d <> '' AND body <> ''""", "article_pages"))
 def article_extract(t: Tables) -> DataFrame:
     return ld.article_rows(t.article_pages)
 
 
+def _escaped(c):
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("'", "&#x27;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+@query("article_attributes", with_tables("""SELECT id AS page_id, url, date, trim(headline, ' ') || ' & <i>' AS headline,
+    CASE WHEN trim(headline, ' ') = '' THEN 'Résumé & more' ELSE trim(headline, ' ') || chr(10) || 'Résumé & more' END AS content
+    FROM news_articles WHERE id % 7 <> 0""", "news_articles"))
+def article_attributes(t: Tables) -> DataFrame:
+    """Pages whose tags carry attributes in any order, with entities and an og:title; some have no body."""
+    lead = _escaped(F.trim("headline"))
+    page = F.concat(
+        F.lit("<html><META content='"), F.col("date").cast("string"), F.lit("T10:00:00' property='article:published_time' />"),
+        F.lit('<meta name="x" property="og:title" content="'), lead, F.lit(' &amp; &lt;i&gt;"><title lang=en>other</title>'),
+        F.when(F.col("id") % 7 == 0, F.lit("<div>")).otherwise(F.lit('<article data-x="a>b" class="c">')),
+        F.lit('<p class="lead" >'), lead, F.lit("</p><p></p>\n<P id=2>R&eacute;sum&#233; <b class='q'>&amp;</b> more</P ></article>"))
+    return ld.article_rows(t.news_articles.select(F.col("id").alias("page_id"), "url", page.alias("html")))
+
+
+@query("link_attributes", """SELECT doc_id AS page_id, unnest(['https://example.org/a?x=' || doc_id || '&y=1', 'http://b.example/' || doc_id,
+    'https://example.org/c' || doc_id]) AS link FROM documents""")
+def link_attributes(t: Tables) -> DataFrame:
+    """Anchors with other attributes before the target, single quotes, no quotes, entities, and some without a target."""
+    i = F.col("doc_id").cast("string")
+    page = F.concat(F.lit('<a class="n" href="/a?x='), i, F.lit('&amp;y=1" id=3>A</a><A HREF = \'http://b.example/'), i,
+                    F.lit("'>B</A><a href=/c"), i, F.lit('>C</a><a name="x">D</a><a href="">E</a><area href="/no">'))
+    return ld.link_rows(t.raw("documents").select(F.col("doc_id").alias("page_id"), page.alias("html")), "https://example.org")
+
+
 @query("link_extract", """SELECT page_id, CASE WHEN starts_with(h, 'http') THEN h ELSE 'https://example.org' || h END AS link
     FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS h FROM pages) WHERE h <> ''""")
 def link_extract(t: Tables) -> DataFrame:
@@ -198,14 +290,37 @@ def feature_names_json(t: Tables) -> DataFrame:
                     tx.feature_names(F.to_json(records)).alias("from_records"), tx.feature_names(F.to_json(weights)).alias("from_map"))
 
 
-@query("select_features", with_tables("""SELECT company_id, date, revenue, operating_profit, gross_profit FROM fundamentals""", "fundamentals"))
+NEWEST = "newest AS (SELECT * FROM selected_features QUALIFY row_number() OVER (PARTITION BY sector_id ORDER BY run_date DESC) = 1)"
+MEASURES = ["revenue", "operating_profit", "gross_profit", "net_profit"]
+
+
+def stored_choices(t: Tables) -> DataFrame:
+    """The selections of two runs, stored one after the other and read back."""
+    path = scratch_path(t.spark, "selections")
+    for part in (F.year("run_date") < 1996, F.year("run_date") >= 1996):
+        sl.store_selection(t.selected_features.where(part), path)
+    return sl.stored_selections(t.spark, path)
+
+
+@query("select_features", with_tables("""SELECT f.company_id, f.date, n.sector_id, x.feature, x.value FROM fundamentals f
+    JOIN companies c ON c.id = f.company_id JOIN newest n ON n.sector_id = c.sector_id,
+    (SELECT unnest(['revenue', 'operating_profit', 'gross_profit', 'net_profit']) AS feature,
+      unnest([f.revenue, f.operating_profit, f.gross_profit, f.net_profit]) AS value) x
+    WHERE list_contains(n.selected_features, x.feature)""", "fundamentals", "companies", "selected_features", extra=NEWEST))
 def select_features(t: Tables) -> DataFrame:
-    """Columns named by the newest selection, plus the ones that are always kept."""
-    newest = (t.selected_features.where(F.array_size("selected_features") == 3)
-              .agg(F.max_by("selected_features", F.struct("run_date", "sector_id")).alias("s")).first())
-    chosen = newest["s"] if newest["s"] else ["revenue", "operating_profit", "gross_profit"]
-    keep = ["company_id", "date", "close", "sector_id"]
-    return drop_all_null_columns(t.fundamentals.select(*[c for c in t.fundamentals.columns if c in keep or c in chosen]))
+    """Measures that the newest stored selection of the company's sector names."""
+    newest = sl.latest_selections(stored_choices(t), "shadow")
+    sector = t.companies.select(F.col("id").alias("company_id"), "sector_id")
+    return sl.selected_values(t.fundamentals.join(sector, "company_id"), newest, MEASURES)
+
+
+@query("selection_ranks", with_tables("""SELECT sector_id, run_date, x.feature, CAST(1 + len(list_filter(n.measures, lambda m: m > x.v)) AS INT) AS rank,
+    list_contains(selected_features, x.feature) AS selected FROM newest n,
+    (SELECT unnest(['revenue', 'operating_profit', 'gross_profit', 'net_profit']) AS feature, unnest(n.measures) AS v) x""",
+                                      "selected_features", extra=NEWEST))
+def selection_ranks(t: Tables) -> DataFrame:
+    """Ranks of the newest stored selection of each sector."""
+    return sl.ranks(sl.latest_selections(stored_choices(t), "shadow")).select("sector_id", "run_date", "feature", "rank", "selected")
 
 
 @query("to_record", with_tables("SELECT id, strftime(date, '%Y-%m-%d') AS date, headline, url, source FROM news_articles", "news_articles"))

@@ -152,11 +152,15 @@ def dedup_first(t: Tables) -> DataFrame:
     return one_per_key(_lines(t), KEYS, ORDER, keep="first")
 
 
-@query("latest_selection", with_tables("""SELECT sector_id, run_date, model_type, selected_features, total_features FROM selected_features
+@query("latest_selection", with_tables("""SELECT sector_id, run_date, model_type, selected_features, total_features,
+    list_transform(list_sort(list_transform(range(1, 5), lambda i: ['revenue', 'operating_profit', 'gross_profit', 'net_profit'][i] || '='
+     || (1 + len(list_filter(measures, lambda m: m > measures[i]))))), lambda s: s) AS ranks FROM selected_features
     QUALIFY row_number() OVER (PARTITION BY sector_id ORDER BY run_date DESC) = 1""", "selected_features"))
 def latest_selection(t: Tables) -> DataFrame:
-    cols = t.selected_features.drop("company_id", "feature_importances")
-    return latest_per_key(cols, ["sector_id"], "run_date")
+    """Whole records, their map of ranks included."""
+    newest = latest_per_key(t.selected_features.drop("company_id"), ["sector_id"], "run_date")
+    text = F.transform(F.map_entries("feature_importances"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return newest.withColumn("ranks", F.array_sort(text)).drop("feature_importances")
 
 
 @query("existing_keys", with_tables("""SELECT company_id, date FROM upd u WHERE NOT EXISTS (

@@ -11,6 +11,7 @@ from ..operators import aggregates as ag
 from ..operators import reads as rd
 from ..operators import windows as tw
 from ..operators.merge import sanitize
+from ..sources.panel_store import read_panel
 from .registry import query
 from .tables import Tables, with_tables
 
@@ -18,9 +19,14 @@ BAR = "company_id, date, open, high, low, close, volume"
 DAY, FROM, TO = date(1997, 3, 3), date(1998, 1, 1), date(1996, 6, 30)
 
 
+def _bars(t: Tables, **predicates) -> DataFrame:
+    """Rows of the stored bars."""
+    return read_panel(t.spark, t.stored("market_data"), **predicates)
+
+
 @query("scan_market", with_tables("SELECT date, close FROM market_data WHERE company_id = 7", "market_data"))
 def scan_market(t: Tables) -> DataFrame:
-    return rd.read_where(t.market_data, company_id=7).select("date", "close").orderBy("date")
+    return _bars(t, company_id=7).select("date", "close").orderBy("date")
 
 
 @query("scan_macro", with_tables("SELECT * FROM macro_data", "macro_data"))
@@ -32,7 +38,7 @@ def scan_macro(t: Tables) -> DataFrame:
     "SELECT date, revenue, operating_profit, gross_profit, net_profit, ebitda FROM fundamentals WHERE company_id = 7",
     "fundamentals"))
 def scan_fundamentals(t: Tables) -> DataFrame:
-    return rd.read_where(t.fundamentals, company_id=7).drop("company_id").orderBy("date")
+    return read_panel(t.spark, t.stored("fundamentals"), company_id=7).drop("company_id").orderBy("date")
 
 
 @query("dim_companies", with_tables("SELECT id, ticker FROM companies", "companies"))
@@ -53,22 +59,22 @@ def read_by_key(t: Tables) -> DataFrame:
 
 @query("read_by_company", with_tables(f"SELECT {BAR} FROM market_data WHERE company_id = 3", "market_data"))
 def read_by_company(t: Tables) -> DataFrame:
-    return rd.read_where(t.market_data, company_id=3)
+    return _bars(t, company_id=3)
 
 
 @query("read_by_date", with_tables(f"SELECT {BAR} FROM market_data WHERE date = DATE '1997-03-03'", "market_data"))
 def read_by_date(t: Tables) -> DataFrame:
-    return rd.read_where(t.market_data, date=DAY)
+    return _bars(t, date=DAY)
 
 
 @query("read_from_date", with_tables(f"SELECT {BAR} FROM market_data WHERE date >= DATE '1998-01-01'", "market_data"))
 def read_from_date(t: Tables) -> DataFrame:
-    return rd.read_where(t.market_data, date_from=FROM)
+    return _bars(t, date_from=FROM)
 
 
 @query("read_to_date", with_tables(f"SELECT {BAR} FROM market_data WHERE date <= DATE '1996-06-30'", "market_data"))
 def read_to_date(t: Tables) -> DataFrame:
-    return rd.read_where(t.market_data, date_to=TO)
+    return _bars(t, date_to=TO)
 
 
 @query("read_range", with_tables(
@@ -81,7 +87,7 @@ def read_range(t: Tables) -> DataFrame:
 @query("read_company_date", with_tables(
     f"SELECT {BAR} FROM market_data WHERE company_id = 5 AND date >= DATE '1998-01-01'", "market_data"))
 def read_company_date(t: Tables) -> DataFrame:
-    return rd.read_where(t.market_data, company_id=5, date_from=FROM)
+    return _bars(t, company_id=5, date_from=FROM)
 
 
 @query("read_source", with_tables("SELECT id, date, url, source FROM news_articles WHERE source = 'src3'", "news_articles"))
@@ -100,8 +106,7 @@ def read_group(t: Tables) -> DataFrame:
                               "market_data", "companies"))
 def read_in(t: Tables) -> DataFrame:
     members = rd.read_where(t.companies, sector_id=12).select("id")
-    return rd.in_list(t.market_data, "company_id", [2, 4, 6]).unionByName(
-        rd.in_list(t.market_data, "company_id", members))
+    return _bars(t, members=("company_id", [2, 4, 6])).unionByName(_bars(t, members=("company_id", members)))
 
 
 @query("read_verified", with_tables(

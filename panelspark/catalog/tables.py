@@ -6,19 +6,25 @@ the same derivations as DuckDB text for the twins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..session import spread
+from ..session import scratch_path, spread
+from ..sources.panel_store import write_panel
 
 
 #: Tables that grow with the data; a single-file copy is spread over the cores.
 LARGE = ("lineitem", "orders", "documents", "events")
 
 
+#: Panels stored so far: (application, folder, name) to path.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """Source tables of one folder and the panel tables made of them."""
 
@@ -29,6 +35,15 @@ class Tables:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return spread(df) if name in LARGE else df
 
+    def stored(self, name: str, build: Callable[[], DataFrame] | None = None) -> str:
+        """Path of a derived panel in the shared folder, written the first time it is asked for in this application."""
+        place = (self.spark.sparkContext.applicationId, self.folder, name)
+        if place not in _STORED:
+            path = scratch_path(self.spark, f"panel-{name}")
+            write_panel(build() if build else getattr(self, name), path)
+            _STORED[place] = path
+        return _STORED[place]
+
     @cached_property
     def market_data(self) -> DataFrame:
         key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
@@ -247,12 +262,12 @@ class Tables:
         q = F.element_at(F.array(*[F.lit(x) for x in ("I", "II", "III", "IV")]), F.quarter("date"))
         label = F.concat_ws(" ", q, F.lit("Q"), F.year("date"))
         page = F.year("date") - 1990
-        heads = F.array(*[F.struct(F.lit(h).alias("header"), F.floor(c).alias("v"))
-                          for h, c in STATEMENT_HEADERS.items()])
+        heads = F.array(*[F.struct(F.lit(h).alias("header"), F.floor(c).alias("v"), F.lit(i).alias("nth"))
+                          for i, (h, c) in enumerate(STATEMENT_HEADERS.items())])
         cells = spread(f).select("company_id", page.alias("page"), label.alias("kwartal"), F.explode(heads).alias("h"))
         text = F.concat(F.col("h.v").cast("string"), F.lit(",5\u00a0"))
         return cells.select("company_id", "page", "kwartal", F.col("h.header").alias("header"),
-                            text.alias("cell"))
+                            text.alias("cell"), F.col("h.nth").alias("nth"))
 
 
 # Statement headers of the landed fixture and the measure each holds.
@@ -352,9 +367,9 @@ CTE["article_pages"] = """
 CTE["statement_cells"] = """
  SELECT company_id, CAST(year(date) - 1990 AS INT) AS page,
   ['I', 'II', 'III', 'IV'][quarter(date)] || ' Q ' || year(date) AS kwartal, header,
-  CAST(CAST(floor(v) AS BIGINT) AS VARCHAR) || ',5' || chr(160) AS cell
+  CAST(CAST(floor(v) AS BIGINT) AS VARCHAR) || ',5' || chr(160) AS cell, nth
  FROM (""" + " UNION ALL ".join(
-    f"SELECT company_id, date, '{h}' AS header, {c} AS v FROM fundamentals" for h, c in STATEMENT_HEADERS.items()
+    f"SELECT company_id, date, '{h}' AS header, {c} AS v, {i} AS nth FROM fundamentals" for i, (h, c) in enumerate(STATEMENT_HEADERS.items())
 ) + ") WHERE true"
 
 #: Derived tables a derived table reads.

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Polish letters and the letter each folds to. The stroke l has
-# no decomposition, so ASCII folding drops it.
-ACCENTED = "ąćęńóśźżĄĆĘŃÓŚŹŻ"
-FOLDED = "acenoszzACENOSZZ"
+
+
+def _foldings() -> tuple[str, str]:
+    """Letters of the Latin blocks that decompose to one ASCII character, and what each folds to.
+
+    A letter without a decomposition, such as the stroke l, is not among them: folding drops it.
+    """
+    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode())
+             for block in (range(0xA0, 0x250), range(0x1E00, 0x1F00), range(0xFF01, 0xFF5F)) for c in block]
+    one = [(a, b) for a, b in pairs if len(b) == 1]
+    return "".join(a for a, _ in one), "".join(b for _, b in one)
+
+
+ACCENTED, FOLDED = _foldings()
 # Valid years and the end of quarter by roman numeral.
 FIRST_YEAR, LAST_YEAR = "1678", "2261"
 QUARTER_END = {"I": "03-31", "II": "06-30", "III": "09-30", "IV": "12-31"}

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .dedup import one_per_key
 
 
@@ -105,9 +106,9 @@ def date_chunks(df: DataFrame, start: str | Column, end: str | Column, days: int
 def anti_existing(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New rows whose key is not stored yet.
 
-    The stored keys are cut to those that occur in the new rows first. The new
-    batch is the small side, so Spark can broadcast it and the stored table is
-    read once without a shuffle.
+    The new batch is computed once and written to the shared folder. The stored keys are cut to those that occur in it;
+    the batch is the small side, so Spark can broadcast its keys and the stored table is read once without a shuffle.
     """
-    known = stored.select(*keys).join(new.select(*keys), list(keys), "left_semi")
-    return new.join(known, list(keys), "left_anti")
+    batch = reliable_checkpoint(new, "batch")
+    known = stored.select(*keys).join(batch.select(*keys), list(keys), "left_semi").distinct()
+    return batch.join(known, list(keys), "left_anti")

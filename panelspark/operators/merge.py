@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import reliable_checkpoint
 from .dedup import one_per_key
 from .joins import anti_existing
 
@@ -24,7 +25,7 @@ def insert_ignore(base: DataFrame, updates: DataFrame, keys: Sequence[str],
 def upsert_replace(base: DataFrame, updates: DataFrame, keys: Sequence[str],
                    order: Sequence[str] | None = None) -> DataFrame:
     """Replace rows by key; the last of equal new keys wins."""
-    updates = one_per_key(updates, keys, order or [], keep="last")
+    updates = reliable_checkpoint(one_per_key(updates, keys, order or [], keep="last"), "batch")
     kept = base.join(updates.select(*keys), list(keys), "left_anti")
     return kept.unionByName(updates.select(*base.columns))
 

@@ -22,10 +22,10 @@ _PLACE_BITS = 33
 def in_ranges(df: DataFrame, order: Sequence[str], name: str = "ranges") -> DataFrame:
     """Stored copy of the frame, with ``_part`` (ranges ascend) and ``_place`` (from 0 inside the range)."""
     at = F.monotonically_increasing_id()
-    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at)
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row_id", at)
     return reliable_checkpoint(cut.select(
-        *df.columns, F.shiftright("_at", _PLACE_BITS).alias("_part"),
-        F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place")), name)
+        *df.columns, F.shiftright("_row_id", _PLACE_BITS).alias("_part"),
+        F.col("_row_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place")), name)
 
 
 def range_offsets(ranged: DataFrame, totals: Sequence[str] = ()) -> DataFrame:

@@ -8,10 +8,6 @@ from datetime import date as Date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lists longer than this are joined instead of being put into the filter.
-IN_LIST = 200
-
-
 def read_where(df: DataFrame, *, date: Date | None = None, date_from: Date | None = None,
                date_to: Date | None = None, on: str = "date", **equals) -> DataFrame:
     """Rows that match every given predicate (equality, date, closed date range)."""
@@ -37,15 +33,14 @@ def in_group(companies: DataFrame, group: str) -> DataFrame:
 
 
 def in_list(df: DataFrame, column: str, values: Iterable | DataFrame) -> DataFrame:
-    """Rows whose column is in a list, or in the first column of a table."""
+    """Rows whose column is in a list, or in the first column of a table.
+
+    A list becomes one set in the filter, whatever its length; values that do not fit on the driver come as a table.
+    """
     if isinstance(values, DataFrame):
         keys = values.select(F.col(values.columns[0]).alias(column))
         return df.join(keys, column, "left_semi")
-    values = list(values)
-    if len(values) <= IN_LIST:
-        return df.where(F.col(column).isin(values))
-    keys = df.sparkSession.createDataFrame([(v,) for v in values], df.select(column).schema)
-    return df.join(keys, column, "left_semi")
+    return df.where(F.col(column).isin(list(values)))
 
 
 def at_least(df: DataFrame, column: str, threshold: float) -> DataFrame:

@@ -17,6 +17,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .ordering import running_totals
+
 
 def series(key: str | Sequence[str] = "company_id", order: str = "date") -> WindowSpec:
     keys = [key] if isinstance(key, str) else list(key)
@@ -132,21 +134,18 @@ def month_phase(key: str = "company_id", date: str = "date", scope: str = "key")
 def panel_month_phase(df: DataFrame, key: str = "company_id", date: str = "date") -> DataFrame:
     """Month phase counted over the stacked panel (rows ordered by key, then date).
 
-    Company blocks of a month are counted first, so the window that spans
-    companies sees one row per (company, month) instead of every bar.
+    Rows are counted per (month, company) first. Ranges of these counts are accumulated, so a month with very many
+    companies spreads over tasks; what lies before the month is then taken off.
     """
     month = F.trunc(date, "month")
-    blocks = df.groupBy(month.alias("_m"), F.col(key)).agg(F.count(F.lit(1)).alias("_c"))
-    run = Window.partitionBy("_m").orderBy(key)
-    blocks = blocks.select(
-        "_m", key,
-        (F.sum("_c").over(run) - F.col("_c")).alias("_before"),
-        F.sum("_c").over(Window.partitionBy("_m")).alias("_total"))
+    blocks = df.groupBy(F.struct(month.alias("_m"), F.col(key).alias("_k")).alias("_at")).agg(F.count(F.lit(1)).alias("_c"))
+    blocks = running_totals(blocks, "_at", ["_c"]).select("_at._m", F.col("_at._k").alias(key), "_c", "_c_before")
+    months = F.broadcast(blocks.groupBy("_m").agg(  # one row per calendar month
+        F.min("_c_before").alias("_start"), F.sum("_c").alias("_total")))
     own = Window.partitionBy(key, "_m").orderBy(date)
-    return (df.withColumn("_m", month).join(blocks, ["_m", key])
-            .withColumn("month_phase",
-                        (F.col("_before") + F.row_number().over(own)) / F.col("_total"))
-            .drop("_m", "_before", "_total"))
+    return (df.withColumn("_m", month).join(blocks, ["_m", key]).join(months, "_m")
+            .withColumn("month_phase", (F.col("_c_before") - F.col("_start") + F.row_number().over(own)) / F.col("_total"))
+            .select(*df.columns, "month_phase"))
 
 
 def add_lags(df: DataFrame, col: str, n: int, w: WindowSpec, prefix: str | None = None) -> DataFrame:

@@ -62,15 +62,22 @@ def preference(header: Column, candidates: Sequence[str], exact: bool = True, pr
 
 
 def pick(candidates: Sequence[str], exact: bool = True, prefix: bool = False,
-         header: str = "header", value: str = "value") -> Column:
-    """Aggregate: struct of the value under the preferred header, NULL when no header matches."""
+         header: str = "header", value: str = "value", place: str = "header") -> Column:
+    """Aggregate: struct of the value under the preferred header, NULL when no header matches.
+
+    Headers with the same prefix are told apart by ``place``, the order of the columns where it is known.
+    """
     rank = preference(F.col(header), candidates, exact, prefix)
-    return F.min_by(F.struct(F.col(value).alias("v")), F.when(rank.isNotNull(), F.struct(rank, F.col(header))))
+    return F.min_by(F.struct(F.col(value).alias("v")), F.when(rank.isNotNull(), F.struct(rank, F.col(place), F.col(header))))
+
+
+def _place(rows: DataFrame) -> str:
+    return "nth" if "nth" in rows.columns else "header"
 
 
 def map_bank(rows: DataFrame, keys: Sequence[str] = ("company_id", "date")) -> DataFrame:
     """Eleven bank measures from normalised statement rows."""
-    wide = rows.groupBy(*keys).agg(*[pick(c, prefix=True).alias(m) for m, c in BANK_CANDIDATES.items()])
+    wide = rows.groupBy(*keys).agg(*[pick(c, prefix=True, place=_place(rows)).alias(m) for m, c in BANK_CANDIDATES.items()])
     return wide.select(*keys, *[F.col(f"{m}.v").alias(m) for m in BANK_CANDIDATES])
 
 
@@ -81,9 +88,10 @@ def map_sector(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """
     picks = {"rev": pick(REVENUE), "prem": pick(INSURANCE_PREMIUM), "inv": pick(INSURANCE_INVESTMENT),
              "bank": pick(BANK_RESULT), "int": pick(BANK_INTEREST), "fee": pick(BANK_FEES),
-             "op": pick(OPERATING, exact=False, prefix=True), "tech": pick(TECHNICAL, exact=False, prefix=True),
+             "op": pick(OPERATING, exact=False, prefix=True, place=_place(rows)),
+             "tech": pick(TECHNICAL, exact=False, prefix=True, place=_place(rows)),
              "gross": pick(GROSS), "net": pick(NET), "ebitda": pick(EBITDA), "ebit": pick(EBIT),
-             "amort": pick(AMORTISATION), **({"audited": pick(AUDITED, exact=False, prefix=True, value="text")}
+             "amort": pick(AMORTISATION), **({"audited": pick(AUDITED, exact=False, prefix=True, value="text", place=_place(rows))}
                                              if "text" in rows.columns else {}), **{m: pick(c) for m, c in OPTIONAL.items()}}
     wide = rows.groupBy("company_id", "date").agg(*[c.alias(f"_{n}") for n, c in picks.items()])
     sector = companies.select(F.col("id").alias("company_id"), "sector_id")

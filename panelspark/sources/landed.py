@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html import unescape
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import (join_paragraphs, normalise_header, parse_date, parse_number,
@@ -94,17 +96,24 @@ def gdp_rows(df: DataFrame) -> DataFrame:
 def statement_rows(cells: DataFrame, keys: Sequence[str] = ("company_id",)) -> DataFrame:
     """Statement cells (page, kwartal, header, cell) to one row per key, quarter and header.
 
-    A quarter seen on several pages is taken from the first page. Headers are
-    normalised; labels that name no quarter are dropped. The cell text is kept
-    beside its number.
+    A quarter seen on several pages is taken whole from the first of them, with the headers of that page alone. Headers
+    are normalised; labels that name no quarter are dropped. The cell text is kept beside its number, and ``nth``, the
+    place of the header on its page, if the cells have it. A quarter holds the headers of a few pages, so the window is
+    small, and grouping by header needs no second shuffle.
     """
-    rows = cells.select(*keys, "page", quarter_date("kwartal").alias("date"),
-                        normalise_header("header").alias("header"), parse_number("cell").alias("value"),
-                        F.trim("cell").alias("text"))
+    nth = ["nth"] if "nth" in cells.columns else []
+    rows = cells.select(*keys, "page", quarter_date("kwartal").alias("date"), "header", "cell", *nth)
     rows = rows.where(F.col("date").isNotNull())
-    return (rows.groupBy(*keys, "date", "header")
-            .agg(F.min_by(F.struct("value", "text"), F.struct("page", "value", "text")).alias("v"))
-            .select(*keys, "date", "header", "v.value", "v.text"))
+    first = F.min("page").over(Window.partitionBy(*keys, "date"))
+    rows = rows.withColumn("_first", first).where(F.col("page") == F.col("_first")).select(
+        *keys, "date", normalise_header("header").alias("header"), parse_number("cell").alias("value"),
+        F.trim("cell").alias("text"), *nth)
+    if not nth:
+        return (rows.groupBy(*keys, "date", "header").agg(F.min(F.struct("value", "text")).alias("v"))
+                .select(*keys, "date", "header", "v.value", "v.text"))
+    # of headers that become equal the last one counts, in the place of the first
+    return (rows.groupBy(*keys, "date", "header").agg(F.max(F.struct("nth", "value", "text")).alias("v"), F.min("nth").alias("nth"))
+            .select(*keys, "date", "header", "v.value", "v.text", "nth"))
 
 
 def statement_wide(rows: DataFrame, headers: Sequence[str], keys: Sequence[str] = ("company_id",)) -> DataFrame:
@@ -112,29 +121,62 @@ def statement_wide(rows: DataFrame, headers: Sequence[str], keys: Sequence[str]
     return rows.groupBy(*keys, "date").pivot("header", list(headers)).agg(F.first("value"))
 
 
-# Page patterns of the article extraction.
-PUBLISHED = r'<meta property="article:published_time" content="([^"]*)"'
-TITLE = r"(?s)<title>(.*?)</title>"
-BODY = r"(?s)<article>(.*?)</article>"
-PARAGRAPH = r"(?s)<p>(.*?)</p>"
-HREF = r'<a href="([^"]*)"'
+# Page patterns of the article extraction. Tags may carry attributes, in any order and quoting.
+ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+META = rf"(?is)<meta\b{ATTRIBUTES}>"
+TITLE = rf"(?is)<title\b{ATTRIBUTES}>(.*?)</title\s*>"
+BODY = rf"(?is)<article\b{ATTRIBUTES}>(.*?)</article\s*>"
+PARAGRAPH = rf"(?is)<p\b{ATTRIBUTES}>(.*?)</p\s*>"
+ANCHOR = rf"(?is)<a\b{ATTRIBUTES}>"
 
 
-def article_rows(pages: DataFrame, html: str = "html", published: str = PUBLISHED,
-                 title: str = TITLE, body: str = BODY, paragraph: str = PARAGRAPH) -> DataFrame:
-    """Date, title and text of article pages; pages without a date or a body are dropped."""
-    section = F.regexp_extract(html, body, 1)
-    paras = F.transform(F.regexp_extract_all("_body", F.lit(paragraph), F.lit(1)), strip_tags)
-    rows = pages.select("page_id", "url", F.regexp_extract(html, published, 1).alias("_d"),
-                        F.regexp_extract(html, title, 1).alias("headline"), section.alias("_body"))
-    rows = rows.where((F.col("_d") != "") & (F.col("_body") != ""))
-    return rows.select("page_id", "url", F.col("_d").try_cast("timestamp").cast("date").alias("date"), "headline",
-                       join_paragraphs(paras, strip_tags(F.col("_body"))).alias("content")
-                       ).where(F.col("date").isNotNull())
+def section_of_class(name: str) -> str:
+    """Body pattern of a section with the class ``name`` among its classes."""
+    return rf"""(?is)<section\b(?=[^>]*\bclass\s*=\s*["']?[^"'>]*(?<![\w-]){name}(?![\w-])){ATTRIBUTES}>(.*?)</section\s*>"""
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, quoted or bare; NULL when the tag does not have it."""
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    found = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    return F.when(F.regexp_like(tag, F.lit(pattern)), found)
+
+
+def meta(html: str, name: str) -> Column:
+    """Content of the first meta tag whose property is ``name``; NULL without one."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(META), F.lit(0)), lambda t: attribute(t, "property") == name)
+    return attribute(F.get(tags, F.lit(0)), "content")
 
 
-def link_rows(pages: DataFrame, base_url: str, html: str = "html", href: str = HREF) -> DataFrame:
-    """Absolute links of a listing page; empty targets are skipped."""
-    links = pages.select("page_id", F.explode(F.regexp_extract_all(html, F.lit(href), F.lit(1))).alias("h"))
-    return links.where(F.col("h") != "").select("page_id", F.when(
+def _unescaped(text: Column | str) -> Column:
+    """Text with its character references replaced."""
+    @F.pandas_udf("string")
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(unescape, na_action="ignore")
+    return decode(text)
+
+
+def article_rows(pages: DataFrame, html: str = "html", title: str = TITLE, body: str = BODY,
+                 paragraph: str = PARAGRAPH) -> DataFrame:
+    """Date, title and text of article pages; pages without a date or a body are dropped.
+
+    The title is the page's ``og:title``, else its title element. Entities are decoded after the tags are gone.
+    """
+    paras = F.transform(F.regexp_extract_all("_body", F.lit(paragraph), F.lit(1)), strip_tags)
+    rows = pages.select("page_id", "url", meta(html, "article:published_time").alias("_d"),
+                        F.coalesce(meta(html, "og:title"), F.regexp_extract(html, title, 1)).alias("_title"),
+                        F.regexp_extract(html, body, 1).alias("_body"))
+    rows = rows.where((F.col("_d") != "") & (F.col("_body") != ""))
+    rows = rows.select("page_id", "url", F.col("_d").try_cast("timestamp").cast("date").alias("date"), "_title",
+                       join_paragraphs(paras, strip_tags(F.col("_body"))).alias("_text"))
+    return rows.where(F.col("date").isNotNull()).select(
+        "page_id", "url", "date", _unescaped("_title").alias("headline"), _unescaped("_text").alias("content"))
+
+
+def link_rows(pages: DataFrame, base_url: str, html: str = "html", anchor: str = ANCHOR) -> DataFrame:
+    """Absolute links of a listing page; anchors without a target are skipped."""
+    tags = pages.select("page_id", F.explode(F.regexp_extract_all(html, F.lit(anchor), F.lit(0))).alias("t"))
+    links = tags.select("page_id", attribute(F.col("t"), "href").alias("h")).where(F.col("h") != "")
+    links = links.select("page_id", _unescaped("h").alias("h"))
+    return links.select("page_id", F.when(
         F.col("h").startswith("http"), F.col("h")).otherwise(F.concat(F.lit(base_url), "h")).alias("link"))
