@@ -39,7 +39,7 @@ from .simhash import components
 SHINGLE, PERCENT = 4, 85
 
 #: Documents from which a shingle is frequent (signatures of two), and the factor to the next class (of three).
-FREQUENT, NEXT_CLASS = 4, 64
+FREQUENT, NEXT_CLASS = 2, 128
 
 #: Filter bits of a shared signature: a set has many signatures, and one stranger among them would keep it.
 SHARED_BITS = 32
@@ -170,10 +170,14 @@ def _frequent(name: int, total: np.ndarray, least: int) -> pa.RecordBatch:
 
 
 class Classes:
-    """Class of a shingle: 1 for rare ones, 2 and 3 by two filters of frequent cells."""
+    """Class of a shingle: 1 for rare ones, 2 and 3 by two filters of frequent cells.
 
-    def __init__(self, twos: filters.Bloom, threes: filters.Bloom):
-        self.twos, self.threes = twos, threes
+    ``alone`` is true if every shingle of class 1 is in one document only: the filters hold all cells of two documents
+    and more, and a filter never misses a member.
+    """
+
+    def __init__(self, twos: filters.Bloom, threes: filters.Bloom, alone: bool = False):
+        self.twos, self.threes, self.alone = twos, threes, alone
 
     def of(self, prints: np.ndarray) -> np.ndarray:
         cells = mix(prints >> np.uint64(64 - COUNT_BITS))
@@ -181,15 +185,15 @@ class Classes:
         return 1 + two.astype(np.int8) + (two & self.threes.has(cells)).astype(np.int8)
 
 
-def classes(cells: DataFrame, most: int = MOST_FREQUENT) -> Classes:
-    """Filters of the frequent cells; the least level rises until ``most`` cells remain."""
+def classes(cells: DataFrame, least: int, most: int = MOST_FREQUENT) -> Classes:
+    """Filters of the frequent cells (of ``least`` documents); the least level rises until ``most`` cells remain."""
     by = {r.level: r.n for r in cells.groupBy("level").agg(F.count("*").alias("n")).collect()}  # at most 63 rows
     level = min(by, default=0)
     while sum(n for k, n in by.items() if k >= level) > most:
         level += 1
     step = NEXT_CLASS.bit_length() - 1
     return Classes(filters.build(cells.filter(F.col("level") >= level), "cell"),
-                   filters.build(cells.filter(F.col("level") >= level + step), "cell"))
+                   filters.build(cells.filter(F.col("level") >= level + step), "cell"), least == 2 and level <= 1)
 
 
 class Prefixes:
@@ -215,8 +219,11 @@ class Prefixes:
     def groups(self, level: int, k: int) -> int:
         return max(1, (self.base << level) // GROUP_WIDTH[k])
 
-    def signatures(self, s: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """Signatures of a set with the classes of its shingles; none for sets that can only have equals."""
+    def signatures(self, s: np.ndarray, kind: np.ndarray, alone: bool = False) -> np.ndarray:
+        """Signatures of a set with the classes of its shingles; none for sets that can only have equals.
+
+        With ``alone``, rare shingles fill the prefix but are no signatures, as no other set has them.
+        """
         n = len(s)
         if n < self.base:
             return np.zeros(0, np.uint64)
@@ -225,7 +232,7 @@ class Prefixes:
         rare = s[kind == 1][:need]  # sorted by fingerprint: the same order in every set
         for level in self.levels(n):
             salt = np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-            out.append(mix(rare ^ salt))
+            out.append(mix((rare if not alone else rare[:0]) ^ salt))
             left = need - len(rare)
             for k in GROUP_WIDTH:
                 if left <= 0:
@@ -265,7 +272,7 @@ def signatures(docs: DataFrame, size: int, kinds: Classes, prefixes: Prefixes) -
                 if len(s) < prefixes.base or key in seen:
                     continue
                 seen.add(key)
-                sig = np.unique(prefixes.signatures(s, kind))
+                sig = np.unique(prefixes.signatures(s, kind, kinds.alone))
                 sigs.append(sig)
                 keys.append(np.full(len(sig), key, np.int64))
             if sigs:
@@ -312,7 +319,7 @@ def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, pre
                 if not speaks[i] or len(s) < prefixes.base or keys[i] in seen:
                     continue
                 seen.add(keys[i])
-                sig = np.unique(prefixes.signatures(s, kind))
+                sig = np.unique(prefixes.signatures(s, kind, kinds.alone))
                 sig = sig[may_share.has(sig)]
                 if len(sig):
                     cut = int(np.searchsorted(s, PART_FROM))
@@ -334,13 +341,20 @@ def candidates(docs: DataFrame, nodes: DataFrame, size: int, kinds: Classes, pre
         read, "k1 long, k2 long, n long, mark long, part binary, rest binary, sigs array<long>"), "candidates")
 
 
-def blocks(sets: DataFrame) -> DataFrame:
-    """Stored k1, block: sets in the order of their marks, so that similar ones mostly share a block.
+def blocks(sets: DataFrame, index: DataFrame) -> DataFrame:
+    """Stored k1, block: sets in an order in which similar ones mostly follow each other.
 
-    A block holds 256 sets or 2^18 shingles, whichever comes first, and one set more at most.
+    A signature takes the least mark of its sets, and a set the mark that most of its signatures have: a group of
+    similar sets agrees on one, though their own marks differ. A block holds 256 sets or 2^18 shingles, whichever comes
+    first, and one set more at most.
     """
     keys = sets.select("k1", "mark", "n").groupBy("k1").agg(F.min("mark").alias("mark"), F.max("n").alias("n"))
-    rows = keys.select(F.struct("mark", "k1").alias("place"), F.greatest("n", F.lit(LEAST_WEIGHT)).alias("w"))
+    keys = stage(keys, "marks")
+    least = index.join(keys.select("k1", "mark"), "k1").groupBy("sig").agg(F.min("mark").alias("home"))
+    votes = index.join(least, "sig").groupBy("k1", "home").agg(F.count("*").alias("votes"))
+    homes = votes.groupBy("k1").agg(F.max(F.struct("votes", "home")).alias("v")).select("k1", "v.home")
+    rows = keys.join(homes, "k1").select(F.struct("home", "mark", "k1").alias("place"),
+                                         F.greatest("n", F.lit(LEAST_WEIGHT)).alias("w"))
     return stage(running_totals(rows, "place", ["w"]).select(
         "place.k1", F.floor(F.col("w_before") / BLOCK_WEIGHT).alias("block")), "blocks")
 
@@ -458,13 +472,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def _links(docs: DataFrame, nodes: DataFrame, size: int, prefixes: Prefixes, frequent: int) -> DataFrame:
     """Links a, b between nodes: enough of them to connect all that are connected."""
-    kinds = classes(frequencies(docs, size, frequent))
+    kinds = classes(frequencies(docs, size, frequent), frequent)
     ends = signatures(docs, size, kinds, prefixes).groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"))
     shared = stage(ends.filter("lo < hi").select("sig"), "shared-signatures")
     if shared.limit(1).count() == 0:
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     sets = candidates(docs, nodes, size, kinds, prefixes, shared)
-    index = sets.select("k1", F.explode("sigs").alias("sig")).join(shared, "sig").select("sig", "k1").distinct()
+    index = stage(sets.select("k1", F.explode("sigs").alias("sig")).join(shared, "sig").select("sig", "k1").distinct(),
+                  "shared-index")
 
     def ids(links: DataFrame) -> DataFrame:
         a = nodes.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("node").alias("a"))
@@ -472,7 +487,7 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, prefixes: Prefixes, fre
         return links.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
 
     # first every block by itself: what is alike is mostly there
-    where = stage(index.join(blocks(sets), "k1").select("sig", "k1", "block"), "index")
+    where = stage(index.join(blocks(sets, index), "k1").select("sig", "k1", "block"), "index")
     own = where.select(F.col("block").alias("a"), F.col("block").alias("b"), "k1").distinct()
     near = stage(ids(linked(sets, own, prefixes.percent)), "block-links")
     labels = components(near)
