@@ -38,7 +38,7 @@ class PieceEncoder:
     has no ids.
     """
 
-    def __init__(self, path: str, max_entries: int = 600_000) -> None:
+    def __init__(self, path: str, max_entries: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.max_entries = max_entries

@@ -28,6 +28,9 @@ SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints of a segment value up to which they are compared one by one; above, whole fingerprints are looked up.
 HOT_BUCKET = 64
 
+#: Bits of a row's number inside its task, as Spark gives them out.
+ROW_BITS = 33
+
 #: Bytes of the bitmaps of kept rows up to which they are sent to the tasks.
 BITMAP_BYTES = 1 << 26
 
@@ -71,6 +74,15 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.mapInArrow(add, kinds)
 
 
+def print_of(text: Column) -> Column:
+    """Fingerprint of a text column as a signed number; other columns of the row stay in the JVM."""
+    @F.arrow_udf("long")
+    def fingerprints(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(d) for d in text_bytes(texts)], np.uint64).view(np.int64), pa.int64())
+
+    return fingerprints(text)
+
+
 def _high(fp: Column) -> Column:
     return F.shiftrightunsigned(fp, 32)
 
@@ -182,7 +194,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Input columns may have any names. Rows that are kept are numbered in bitmaps, one per task that wrote the rows, so
     whole rows are not shuffled as long as the bitmaps are small enough to send.
     """
-    rows = stage(with_fingerprints(packed(docs, text_col), text_col).select("row", "_rid", "_fp"), "with-fingerprints")
+    rows = stage(packed(docs, text_col).select("row", F.monotonically_increasing_id().alias("_rid"),
+                                               print_of(F.col(text_col)).alias("_fp")), "with-fingerprints")
     narrow = rows.select("_rid", "_fp", F.col("row")[id_col].alias("id"))
     kinds = stage(classes(narrow.select("_fp")), "classes")
     order = F.struct(F.col("id").isNull().alias("none"), "id", F.col("_rid").alias("rid"))
@@ -192,9 +205,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     size = maps.agg(F.sum(F.octet_length("bits")).alias("b")).first()["b"] or 0
     if size > BITMAP_BYTES:
         return rows.join(keep, "_rid", "left_semi").select("row.*")
-    nth = F.col("_rid").bitwiseAND(F.lit((1 << 40) - 1))
+    nth = F.col("_rid").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     byte = F.conv(F.hex(F.substring("bits", (F.floor(nth / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    marked = rows.withColumn("_w", F.shiftright("_rid", 40)).join(F.broadcast(maps), "_w")
+    marked = rows.withColumn("_w", F.shiftright("_rid", ROW_BITS)).join(F.broadcast(maps), "_w")
     return marked.filter(F.call_function("shiftright", byte, (nth % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).select("row.*")
 
 
@@ -204,7 +217,7 @@ def _bitmaps(keep: DataFrame) -> DataFrame:
         own, at = None, []
         for b in batches:
             rid = b.column(1).to_numpy(zero_copy_only=False)
-            task, nth = rid >> 40, rid & ((1 << 40) - 1)
+            task, nth = rid >> ROW_BITS, rid & ((1 << ROW_BITS) - 1)
             cuts = [0, *(np.flatnonzero(np.diff(task)) + 1).tolist(), len(task)]
             for lo, hi in zip(cuts, cuts[1:]):
                 if hi == lo:
@@ -217,7 +230,7 @@ def _bitmaps(keep: DataFrame) -> DataFrame:
         if own is not None:
             yield _bits(own, at)
 
-    return (keep.select(F.shiftright("_rid", 40).alias("_w"), "_rid").repartition("_w").sortWithinPartitions("_w")
+    return (keep.select(F.shiftright("_rid", ROW_BITS).alias("_w"), "_rid").repartition("_w").sortWithinPartitions("_w")
             .mapInArrow(fill, "_w long, bits binary"))
 
 
