@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import forests as fs
 from ..operators import models as md
+from ..operators import selections as sl
 from ..operators import windows as tw
-from ..operators.aggregates import regression_metrics, split_by_share, sample_weights
+from ..operators.aggregates import classification_metrics, regression_metrics, sample_weights, split_by_share
 from ..operators.calendar import session_phase
 from ..plans import frames
+from ..session import reliable_checkpoint, scratch_path
 from .calendars import SESSION_PHASE
 from .composites import joined_panel
 from .registry import query, rnd, rounded
@@ -100,6 +103,92 @@ def ridge_panel(t: Tables) -> DataFrame:
     return regression_metrics(md.predict(model, data.where("part = 'test'"), features), "r", "pred")
 
 
+CLASSES = """fr AS (SELECT company_id, date, r, row_number() OVER (ORDER BY date, company_id) - 1 AS p, count(*) OVER () AS n FROM (
+  SELECT *, lag(r, 2) OVER (PARTITION BY company_id ORDER BY date) AS l2 FROM ret) WHERE r IS NOT NULL AND l2 IS NOT NULL),
+pt AS (SELECT *, CASE WHEN p < cut - 42 THEN CASE WHEN p >= floor((cut - 42) * 0.9) THEN 'stop' ELSE 'train' END WHEN p < cut THEN 'gap' ELSE 'valid' END AS part
+  FROM (SELECT *, greatest(floor(n * 0.8), 200) AS cut FROM fr))"""
+
+
+def _classes(t: Tables) -> DataFrame:
+    """Next direction from the last returns, with parts and weights of the training rows."""
+    w = tw.series()
+    df = _ret(t).withColumns({"l1": F.lag("r", 1).over(w), "l2": F.lag("r", 2).over(w), "m": F.log("close")})
+    df = df.where(F.col("r").isNotNull() & F.col("l2").isNotNull()).withColumn("y", (F.col("r") > 0).cast("double"))
+    return md.class_weights(md.purged_parts(df), "y")
+
+
+@query("class_parts", with_tables(f"""SELECT part, count(*) AS n, min(date) AS first, max(date) AS last, sum(CASE WHEN r > 0 THEN 1 ELSE 0 END) AS ups,
+    {rnd('sum(w)', 6)} AS weight FROM (SELECT *, CASE WHEN part = 'train' THEN CASE WHEN r > 0 THEN (SELECT greatest(1,
+     sum(CASE WHEN r > 0 THEN 0 ELSE 1 END) / greatest(1, sum(CASE WHEN r > 0 THEN 1 ELSE 0 END))) FROM pt WHERE part = 'train') ELSE 1 END
+     / count(*) FILTER (part = 'train') OVER (PARTITION BY company_id) ELSE 1 END AS w FROM pt) GROUP BY part""",
+                                  "market_data", extra=RET + ",\n" + CLASSES))
+def class_parts(t: Tables) -> DataFrame:
+    """Rows, dates, positives and weights of each part of the purged split."""
+    out = _classes(t).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first"), F.max("date").alias("last"),
+                                          F.sum("y").cast("long").alias("ups"), F.sum("weight").alias("weight"))
+    return rounded(out, 6)
+
+
+@query("gbt_classifier", with_tables("""SELECT unnest(['rows', 'probabilities', 'better than the base rate', 'auc above a half', 'stopped early or at the end']) AS "check", true AS holds
+    FROM (SELECT count(*) AS n FROM market_data) WHERE n > 0""", "market_data"))
+def gbt_classifier(t: Tables) -> DataFrame:
+    """What must hold for a classifier whose label follows from its features but for noise, on rows it never saw."""
+    df = _classes(t).withColumn("l0", F.col("r") + F.col("l1") / 2)
+    model = md.fit_gbt_classifier(df, ["l0", "l1", "l2", "m"], "y", max_iter=12, depth=3, step=0.3)
+    valid = reliable_checkpoint(md.predict_class(model, df.where("part = 'valid'")), "scored")
+    rate = df.where("part = 'train'").agg(F.avg("y").alias("p")).select("p").scalar()
+    p = F.least(F.greatest(rate, F.lit(1e-9)), F.lit(1 - 1e-9))
+    plain = valid.agg((-F.avg(F.col("y") * F.log(p) + (1 - F.col("y")) * F.log(1 - p))).alias("b"), F.count(F.lit(1)).alias("n"),
+                      F.count_if(F.col("score").between(0, 1)).alias("ok"))
+    every = df.agg(F.count_if(F.col("part") == "valid").alias("all"))
+    m = classification_metrics(valid, "y", "score").select(
+        "auc", "logloss", *[plain.select(c).scalar().alias(c) for c in ("b", "n", "ok")], every.select("all").scalar().alias("all"))
+    checks = m.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check"), c.alias("holds")) for name, c in (
+        ("rows", F.col("n") == F.col("all")), ("probabilities", F.col("ok") == F.col("n")),
+        ("better than the base rate", F.col("logloss") < F.col("b")), ("auc above a half", F.col("auc") > 0.5),
+        ("stopped early or at the end", F.lit(1 <= len(model.stages[-1].trees) <= 12)))])).alias("x"))
+    return checks.select("x.*")
+
+
+@query("ridge_normal_equations", with_tables("""SELECT unnest(['l1', 'l2', 'm']) AS feature, true AS holds""", "market_data"))
+def ridge_normal_equations(t: Tables) -> DataFrame:
+    """The gradient of the penalised squared error vanishes at the fitted coefficients, feature by feature."""
+    w, names, penalty = tw.series(), ["l1", "l2", "m"], 0.1
+    df = _ret(t).withColumns({"l1": F.lag("r", 1).over(w), "l2": F.lag("r", 2).over(w), "m": F.log("close")})
+    df = reliable_checkpoint(df.na.drop(subset=["r", *names]).select("company_id", "date", "r", *names), "ridge")
+    model = md.fit_ridge(df, names, "r", penalty)
+    coef = model.stages[-1].coefficients.toArray()
+    out = md.predict(model, df, names)
+    stats = {f: (F.avg(f), F.stddev_samp(f)) for f in names}
+    one = df.agg(F.struct(*[F.struct(a.alias("mu"), s.alias("sd")).alias(f) for f, (a, s) in stats.items()],
+                          F.stddev_samp("r").alias("sy")).alias("s")).select("s").scalar()
+    out = out.withColumn("_s", one)
+    # the solver scales the target by its deviation, and the penalty with it
+    grad = [F.avg((F.col(f) - F.col(f"_s.{f}.mu")) / F.col(f"_s.{f}.sd") * (F.col("r") - F.col("pred")))
+            - F.lit(penalty * float(b)) / F.max("_s.sy") for f, b in zip(names, coef)]
+    row = out.agg(*[g.alias(f) for f, g in zip(names, grad)], F.max("_s.sy").alias("sy"))
+    return row.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), (F.abs(F.col(f)) < 1e-6 * F.col("sy")).alias("holds"))
+                                          for f in names])).alias("x")).select("x.*")
+
+
+SECTOR_FEATURES = ["twin", "open", "volume", "noise"]
+
+
+@query("sector_selection", with_tables("""SELECT DISTINCT CAST(c.sector_id AS BIGINT) AS sector_id, unnest(['twin', 'noise']) AS feature,
+    unnest([true, false]) AS selected FROM market_data m JOIN companies c ON c.id = m.company_id""", "market_data", "companies"))
+def sector_selection(t: Tables) -> DataFrame:
+    """Selections of all sectors in one run, stored and read back: a copy of the target is found everywhere, noise nowhere."""
+    sector = t.companies.select(F.col("id").alias("company_id"), "sector_id")
+    noise = F.xxhash64("company_id", "date", F.lit(5)) % 1000
+    panel = t.market_data.join(sector, "company_id").withColumns({"twin": F.col("close") * 2 + 1, "noise": noise})
+    found = fs.keyed_selection(panel, "sector_id", SECTOR_FEATURES, "close", ["company_id", "date"], rounds=8, trees=3, depth=3)
+    path = scratch_path(t.spark, "sector-selection")
+    sl.store_selection(fs.selection_records(found, "sector_id"), path)
+    stored = sl.ranks(sl.latest_selections(sl.stored_selections(t.spark, path), "shadow"))
+    return (stored.where(F.col("feature").isin("twin", "noise"))
+            .select(F.col("sector_id").cast("long").alias("sector_id"), "feature", "selected"))
+
+
 @query("gbt_forecast")
 def gbt_forecast(t: Tables) -> DataFrame:
     frame, features = _frame(t)

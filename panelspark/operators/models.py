@@ -6,13 +6,15 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .aggregates import impute_mean
+from .aggregates import class_balance, impute_mean, time_split
 from .calendar import next_sessions
 from .windows import price_path, shrink_clip, weekday_cycle
 
@@ -126,6 +128,58 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, max_iter: int
     return Pipeline(stages=stages).fit(_assembled(df, [*features, label]))
 
 
+def purged_parts(df: DataFrame, valid_size: float = 0.2, min_train: int = 200, gap: int = 42, stop_share: float = 0.1,
+                 by: str = "date") -> DataFrame:
+    """Add ``part``: train, stop, gap or valid.
+
+    The newest share is kept for validation, behind a gap. The newest rows before the gap decide when boosting stops, so
+    the part that is reported has no say in it.
+    """
+    out = time_split(df, valid_size, min_train, gap, by=by)
+    cut = F.greatest(F.floor(F.count(F.lit(1)) * (1.0 - valid_size)), F.lit(min_train)) - gap
+    first = out.agg(F.floor(cut * (1.0 - stop_share)).alias("c")).select("c").scalar()
+    stop = (F.col("part") == "train") & (F.col("position") >= first)
+    return out.withColumn("part", F.when(stop, "stop").otherwise(F.col("part")))
+
+
+def class_weights(df: DataFrame, label: str, part: str = "part", balance: bool = True) -> DataFrame:
+    """Add ``weight`` from the training rows alone: positives count as often as negatives, companies alike.
+
+    Rows of other parts have weight 1; a company without training rows has no weight to share.
+    """
+    train = df.where(F.col(part) == "train")
+    pos = class_balance(train, label).select("scale_pos_weight").scalar()
+    weight = F.when(F.col(label) == 1, pos).otherwise(F.lit(1.0))
+    if balance:
+        n = train.groupBy("company_id").agg((1.0 / F.count(F.lit(1))).alias("_inv"))
+        df = df.join(n, "company_id", "left")
+        weight = weight * F.coalesce("_inv", F.lit(1.0))
+    return df.withColumn("weight", F.when(F.col(part) == "train", weight).otherwise(F.lit(1.0))).drop("_inv")
+
+
+def fit_gbt_classifier(df: DataFrame, features: Sequence[str], label: str, *, max_iter: int = 600, depth: int = 6,
+                       step: float = 0.05, subsample: float = 0.8, seed: int = 42, weight: str = "weight",
+                       part: str = "part") -> PipelineModel:
+    """Boosted trees with logistic loss on the rows of part train; those of part stop end the boosting."""
+    rows = df.where(F.col(part).isin("train", "stop")).withColumn("_stop", F.col(part) == "stop")
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=depth, stepSize=step,
+                        subsamplingRate=subsample, seed=seed, weightCol=weight, validationIndicatorCol="_stop")
+    stages = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), gbt]
+    return Pipeline(stages=stages).fit(rows)
+
+
+def predict_class(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
+    """Add the probability of class 1; rows with a missing feature have none (NULL)."""
+    tried = PipelineModel([s.copy() for s in model.stages])
+    tried.stages[0].setHandleInvalid("keep")  # NaN goes with the smaller values
+    out = tried.transform(df)
+    missing = F.lit(False)
+    for f in model.stages[0].getInputCols():
+        missing |= F.col(f).isNull()
+    return (out.withColumn(name, F.when(~missing, vector_to_array("probability")[1]))
+            .drop("features", "rawPrediction", "probability", "prediction"))
+
+
 def fit_ridge(df: DataFrame, features: Sequence[str], label: str, penalty: float = 0.1) -> PipelineModel:
     """Standardised features and an L2-penalised linear model on the panel."""
     return Pipeline(stages=[
@@ -137,8 +191,15 @@ def fit_ridge(df: DataFrame, features: Sequence[str], label: str, penalty: float
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], name: str = "pred") -> DataFrame:
-    out = model.transform(_assembled(df, features)).withColumnRenamed("prediction", name)
-    return out.drop("features", "_raw")
+    """Add the prediction; rows with a missing feature stay and have none (NULL)."""
+    missing = F.lit(False)
+    for f in features:
+        missing |= F.col(f).isNull()
+    filled = df.select("*", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"_x_{f}") for f in features])
+    tried = PipelineModel([s.copy() for s in model.stages])
+    tried.stages[0].setInputCols([f"_x_{f}" for f in features])
+    out = tried.transform(filled).withColumn(name, F.when(~missing, F.col("prediction")))
+    return out.select(*df.columns, name)
 
 
 def gain_ranking(df: DataFrame, model: PipelineModel, features: Sequence[str], n: int = 20) -> DataFrame:
