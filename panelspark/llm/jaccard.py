@@ -359,6 +359,42 @@ def blocks(sets: DataFrame, index: DataFrame) -> DataFrame:
         "place.k1", F.floor(F.col("w_before") / BLOCK_WEIGHT).alias("block")), "blocks")
 
 
+def _meetings(rest: DataFrame) -> DataFrame:
+    """a, b, k1: the tiles of a set, made of its block and every other block that one of its signatures reaches.
+
+    A signature hands on its blocks as one list, and the lists of a set are united while its rows stream by.
+    """
+    reach = rest.groupBy("sig").agg(F.collect_set("block").alias("blocks"))
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, block, held = None, 0, []
+
+        def send() -> pa.RecordBatch:
+            other = np.unique(np.concatenate(held))
+            other = other[other != block]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(other, block)), pa.array(np.maximum(other, block)),
+                 pa.array(np.full(len(other), own, np.int64))], ["a", "b", "k1"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            lists, flat = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if keys[lo] != own:
+                    if own is not None:
+                        yield send()
+                    own, block, held = int(keys[lo]), int(at[lo]), []
+                held.append(np.unique(flat[lists[lo]:lists[hi]]))
+        if own is not None:
+            yield send()
+
+    rows = rest.join(reach, "sig").select("k1", "block", "blocks").repartition("k1").sortWithinPartitions("k1")
+    return rows.mapInArrow(unite, "a long, b long, k1 long")
+
+
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets with each other."""
     n = len(sets)
@@ -496,9 +532,7 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, prefixes: Prefixes, fre
     where = stage(where.join(known, "k1").select("sig", "k1", "block", "label"), "labelled-index")
     open_ = where.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("sig")
     rest = stage(where.join(open_, "sig").select("sig", "k1", "block"), "open-index")
-    others = rest.select("sig", F.col("block").alias("other")).distinct()
-    met = (rest.join(others, "sig").filter("block <> other")
-           .select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "k1").distinct())
+    met = _meetings(rest)
     return near.unionByName(stage(ids(linked(sets, met, prefixes.percent)), "tile-links"))
 
 
