@@ -13,6 +13,10 @@ from ..operators import merge as mg
 from ..operators.dedup import latest_per_key, one_per_key
 from ..operators.joins import anti_existing
 from ..operators.news import link_rows
+from ..session import scratch_path
+from ..sources.panel_store import merge_into, read_panel, write_panel
+from ..sources.readers import read_csv, read_table
+from ..sources.writers import append, write_csv
 from .registry import query
 from .tables import Tables, with_tables
 
@@ -163,6 +167,42 @@ def latest_selection(t: Tables) -> DataFrame:
     return newest.withColumn("ranks", F.array_sort(text)).drop("feature_importances")
 
 
+@query("append_rows", with_tables("""SELECT company_id, date, close, volume FROM base UNION ALL SELECT company_id, date, close, volume FROM upd
+    UNION ALL SELECT company_id, date, close, volume FROM upd WHERE company_id % 2 = 0""", "market_data", extra=BASE_SQL))
+def append_rows(t: Tables) -> DataFrame:
+    """A table and two batches added to it, the second of which repeats rows of the first."""
+    path = scratch_path(t.spark, "appended")
+    base, upd = _base_and_updates(t)
+    for part in (base, upd, upd.where(F.col("company_id") % 2 == 0)):
+        append(part.withColumn("month", F.date_format("date", "yyyy-MM")), path, ["month"])
+    return read_table(t.spark, path).drop("month")
+
+
+CSV = "company_id int, date date, close double, note string, day timestamp"
+
+
+@query("csv_sink", with_tables("""SELECT company_id, date, close, CASE company_id % 4 WHEN 0 THEN 'a, "quoted" text' WHEN 1 THEN 'two' || chr(10) || 'lines'
+    WHEN 2 THEN NULL ELSE 'ż;' END AS note, CAST(date AS TIMESTAMP) AS day FROM market_data""", "market_data"))
+def csv_sink(t: Tables) -> DataFrame:
+    """Rows written with a header and read back under a declared schema, with quotes, line ends and NULLs."""
+    path = scratch_path(t.spark, "csv")
+    k = F.col("company_id") % 4
+    note = F.when(k == 0, 'a, "quoted" text').when(k == 1, "two\nlines").when(k == 3, "ż;")
+    write_csv(t.market_data.select("company_id", "date", "close", note.alias("note"), F.col("date").cast("timestamp").alias("day")), path)
+    return read_csv(t.spark, path, CSV)
+
+
+@query("merge_stored", with_tables("""SELECT * FROM upd UNION ALL SELECT * FROM base b WHERE NOT EXISTS (
+    SELECT 1 FROM upd u WHERE b.company_id = u.company_id AND b.date = u.date)""", "market_data", extra=BASE_SQL))
+def merge_stored(t: Tables) -> DataFrame:
+    """A batch merged into a stored panel: the years that it does not touch stay as they are."""
+    path = scratch_path(t.spark, "merged")
+    base, upd = _base_and_updates(t)
+    write_panel(base, path)
+    merge_into(path, upd, lambda old, new: mg.upsert_replace(old, new, KEYS))
+    return read_panel(t.spark, path)
+
+
 @query("existing_keys", with_tables("""SELECT company_id, date FROM upd u WHERE NOT EXISTS (
     SELECT 1 FROM base b WHERE b.company_id = u.company_id AND b.date = u.date)""", "market_data", extra=BASE_SQL))
 def existing_keys(t: Tables) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import forests as fs
@@ -95,6 +95,31 @@ def topn_features(t: Tables) -> DataFrame:
     return md.gain_ranking(frame, md.fit_gbt(frame, features, "r", max_iter=5, depth=4), features, 10)
 
 
+@query("gain_order", with_tables("""SELECT CAST(i AS BIGINT) AS place, ['twin', 'half'][i] AS feature, i = 1 AS most FROM
+    (SELECT unnest([1, 2]) AS i) WHERE EXISTS (SELECT 1 FROM market_data)""", "market_data"))
+def gain_order(t: Tables) -> DataFrame:
+    """The two best features of a target that is made of one feature and, less, of another."""
+    h = F.xxhash64("company_id", "date", F.lit(1)) % 1000
+    df = t.market_data.select("company_id", "date", "close", F.log("close").alias("twin"), (h / 1000.0).alias("half"),
+                              (F.xxhash64("company_id", "date", F.lit(2)) % 1000).cast("double").alias("noise"))
+    df = reliable_checkpoint(df.withColumn("y", 4 * F.col("twin") + F.col("half")), "gains")
+    ranked = md.gain_ranking(df, md.fit_gbt(df, ["noise", "half", "twin"], "y", max_iter=8, depth=4, step=0.5), ["noise", "half", "twin"], 2)
+    place = F.row_number().over(Window.orderBy(F.col("gain").desc(), "feature"))  # two rows
+    return ranked.select(place.cast("long").alias("place"), "feature", (F.col("gain") > 0.5).alias("most"))
+
+
+@query("gbt_forecast_days", with_tables("""SELECT company_id, CAST(step AS INT) AS step, date FROM (SELECT x.company_id, t.trade_date AS date,
+      row_number() OVER (PARTITION BY x.company_id ORDER BY t.trade_date) AS step FROM (SELECT company_id, max(date) AS d FROM (
+       SELECT company_id, date, count(*) OVER (PARTITION BY company_id) AS n FROM ret WHERE r IS NOT NULL) WHERE n >= 30 GROUP BY company_id) x
+      JOIN trading_sessions t ON t.is_trading_day AND t.trade_date > x.d) WHERE step <= 3""", "market_data", "trading_sessions", extra=RET))
+def gbt_forecast_days(t: Tables) -> DataFrame:
+    """Companies, steps and sessions of a roll-forward; every forecast is a positive price."""
+    frame, features = _frame(t)
+    model = md.fit_gbt(frame, features, "r", max_iter=2, depth=2)
+    out = md.gbt_forecast(model, frame, features, 3, t.trading_sessions, session_phase(t.trading_sessions))
+    return out.where("forecast > 0").select("company_id", F.col("step").cast("int").alias("step"), "date")
+
+
 @query("ridge_panel")
 def ridge_panel(t: Tables) -> DataFrame:
     frame, features = _frame(t)

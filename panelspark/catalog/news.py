@@ -59,6 +59,15 @@ def sentiment_score(t: Tables) -> DataFrame:
         {"sentiment_label": label, "sentiment_score": score}).drop("text"))
 
 
+@query("sentiment_table", with_tables(f"SELECT news_article_id, sentiment_label, {rnd('sentiment_score')} AS sentiment_score FROM mood",
+                                      "news_articles", extra=TEXTS + ",\n" + MOOD))
+def sentiment_table(t: Tables) -> DataFrame:
+    """The same scores from a lexicon that comes as a table."""
+    words = [(w, 1.0) for w in nw.POSITIVE_WORDS] + [(w.upper(), -2.0) for w in nw.NEGATIVE_WORDS] + [("plain", 0.0)]
+    lexicon = t.spark.createDataFrame(words, "word string, polarity double")
+    return rounded(nw.sentiment_from_table(_texts(t), lexicon).withColumnRenamed("id", "news_article_id"))
+
+
 def _links(match: str, extra_cols: str, extra_join: str) -> str:
     return f"""SELECT m.news_article_id, m.company_id, c.sector_id, t.context_tag_id, {rnd('t.confidence_score')} AS confidence_score{extra_cols}
     FROM {match} m LEFT JOIN companies c ON c.id = m.company_id LEFT JOIN top t ON t.news_article_id = m.news_article_id {extra_join}

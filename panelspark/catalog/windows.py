@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.config import check_keys, without_comments
 from ..operators import windows as tw
 from ..operators.aggregates import winsorize_by_key
 from ..operators.joins import asof_by_key
@@ -111,6 +112,26 @@ def ema_spans(t: Tables) -> DataFrame:
     return rounded(out.select("company_id", "date", *[f"ema_{n}" for n in SPANS]), 4)
 
 
+CONFIG = {"data_comment": "not read", "data": {"span": 5, "span_comment": "sessions", "lags": [1, 3], "company": {"from": 2, "from_comment": 0}},
+          "model": {"trees": 10}}
+
+
+@query("configured_frame", with_tables(f"""SELECT company_id, date, {rnd('ln(close) - ln(lag(close) OVER w)', 6)} AS r_lag_0, lag(close, 1) OVER w AS close_lag_1,
+    lag(close, 3) OVER w AS close_lag_3, {rnd(roll('avg', 'close', 5), 6)} AS mean_5 FROM market_data WHERE company_id >= 2 {WIN}""", "market_data"))
+def configured_frame(t: Tables) -> DataFrame:
+    """Columns of a frame as the sections of a job configuration name them; comment keys count for nothing."""
+    conf = without_comments(CONFIG)
+    check_keys(conf, ["data", "model"], "job")
+    data = conf["data"]
+    check_keys(data, ["span", "lags", "company"], "data")
+    w = tw.series()
+    cols = {"r_lag_0": tw.log_return("close", 1, w)} | {f"close_lag_{i}": F.lag("close", i).over(w) for i in data["lags"]}
+    cols[f"mean_{data['span']}"] = tw.rolling(F.avg, "close", data["span"], w)
+    df = _close(t).where(F.col("company_id") >= data["company"]["from"])
+    out = df.select("company_id", "date", *[c.alias(n) for n, c in cols.items()])
+    return rounded(out, 6, skip=tuple(c for c in out.columns if c.startswith("close_lag")))
+
+
 GAPS = "CASE WHEN day(date) % 3 = 0 OR (month(date) = 5 AND company_id % 2 = 0) THEN NULL ELSE close END"
 
 

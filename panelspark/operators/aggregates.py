@@ -38,11 +38,9 @@ def winsorize_by_key(df: DataFrame, col: str, p: float | None, key: str = "compa
     """Clip a column to the [p, 1-p] quantiles of its key; p None or <= 0 changes nothing."""
     if not p or p <= 0:
         return df
-    w = Window.partitionBy(key)
-    q = F.percentile(F.col(col), F.array(F.lit(p), F.lit(1.0 - p))).over(w)
+    q = df.groupBy(key).agg(F.percentile(F.col(col), F.array(F.lit(p), F.lit(1.0 - p))).alias("_q"))
     clipped = F.least(F.greatest(F.col(col), F.col("_q")[0]), F.col("_q")[1])
-    return (df.withColumn("_q", q)
-            .withColumn(col, F.when(F.col(col).isNotNull(), clipped)).drop("_q"))
+    return (df.join(q, key).withColumn(col, F.when(F.col(col).isNotNull(), clipped)).select(*df.columns))
 
 
 def zscore(df: DataFrame, cols: Sequence[str], sample: bool = True) -> DataFrame:

@@ -18,27 +18,18 @@ from .matching import holding
 TAG_BLOCK_BYTES, ARTICLE_ROWS = 1 << 24, 256
 
 
-def alias_phrases(news: DataFrame, aliases: DataFrame, text: str = "text",
-                  id_col: str = "id") -> DataFrame:
-    """(article, company) pairs where an alias occurs as a run of whole tokens.
+def alias_phrases(news: DataFrame, aliases: DataFrame, text: str = "text", id_col: str = "id") -> DataFrame:
+    """(article, company) pairs where an alias occurs as a run of whole tokens, each once.
 
-    Each text is cut into the token runs of the lengths that occur among the
-    aliases, and the runs meet the aliases in an equi join. Runs are made
-    distinct inside the row, so a phrase repeated through a text is joined once.
+    Texts and aliases are written as tokens between single blanks, and the automaton of :mod:`matching` finds the aliases
+    with a blank at both ends: one pass over each text, and no join on a run that very many texts share.
     """
-    pats = aliases.select("company_id", F.array_join(tokens(F.lower("alias")), " ").alias("_run"))
-    pats = pats.where(F.col("_run") != "").distinct()
-    lengths = pats.agg(F.array_sort(F.collect_set(
-        F.size(F.split("_run", " ")))).alias("ks")).select("ks").scalar()
-    toks = news.select(F.col(id_col).alias("news_article_id"), tokens(F.lower(text)).alias("_t"),
-                       lengths.alias("_ks"))
-    last = F.size("_t")
-    runs = F.array_distinct(F.flatten(F.transform("_ks", lambda k: F.when(
-        last >= k, F.transform(F.sequence(F.lit(1), last - k + 1),
-                               lambda i: F.array_join(F.slice("_t", i, k), " ")))
-        .otherwise(F.array().cast("array<string>")))))
-    return (toks.select("news_article_id", F.explode(runs).alias("_run"))
-            .join(pats, "_run").select("news_article_id", "company_id").distinct())
+    def spaced(c: Column) -> Column:
+        return F.concat(F.lit(" "), F.array_join(tokens(F.lower(c)), " "), F.lit(" "))
+    pats = aliases.select("company_id", spaced(F.col("alias")).alias("_a")).where(F.trim("_a") != "")
+    docs = news.select(F.col(id_col).alias("_id"), spaced(F.col(text)).alias("_text"))
+    out = holding(docs, "_id", "_text", pats, "_a", "company_id")
+    return out.select(F.col("_id").alias("news_article_id"), F.col("_v").alias("company_id"))
 
 
 def alias_substrings(news: DataFrame, aliases: DataFrame, text: str = "text", id_col: str = "id") -> DataFrame:
@@ -122,7 +113,7 @@ def _closest(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return run
 
 
-# The small built-in sentiment lexicon.
+#: A small lexicon for texts without one of their own; give a table to :func:`sentiment_from_table` for any other.
 POSITIVE_WORDS = ["gain", "growth", "profit", "rise", "record", "good", "et", "the", "las"]
 NEGATIVE_WORDS = ["loss", "fall", "debt", "decline", "risk", "bad", "de", "of", "und"]
 
@@ -143,6 +134,23 @@ def lexicon_sentiment(text: Column | str, positive: Sequence[str] = tuple(POSITI
     return label, score
 
 
+def sentiment_from_table(news: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "id") -> DataFrame:
+    """id, sentiment_label, sentiment_score from a table of (word, polarity), polarity above or below 0.
+
+    Words of a text are counted inside the row first; the table is joined, so it may be of any size.
+    """
+    sides = lexicon.select(F.lower("word").alias("_w"), F.signum("polarity").cast("int").alias("_p")).where("_p <> 0").distinct()
+    words = news.select(id_col, F.explode(tokens(F.lower(text))).alias("_w")).groupBy(id_col, "_w").agg(F.count("*").alias("_n"))
+    sums = words.join(sides, "_w").groupBy(id_col).agg(
+        F.sum(F.when(F.col("_p") > 0, F.col("_n")).otherwise(0)).alias("_pos"),
+        F.sum(F.when(F.col("_p") < 0, F.col("_n")).otherwise(0)).alias("_neg"))
+    p, n = F.coalesce("_pos", F.lit(0)), F.coalesce("_neg", F.lit(0))
+    label = F.when(p > n, "positive").when(p < n, "negative").otherwise("neutral")
+    score = F.when(p == n, F.lit(0.5)).otherwise(F.greatest(p, n) / (p + n))
+    return news.select(id_col).join(sums, id_col, "left").select(
+        id_col, label.alias("sentiment_label"), score.alias("sentiment_score"))
+
+
 def score_with_model(df: DataFrame, text: str, load: Callable[[], Callable[[pd.Series], pd.DataFrame]]
                      ) -> DataFrame:
     """Add ``sentiment_label`` and ``sentiment_score`` from a model of the caller.

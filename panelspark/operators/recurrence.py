@@ -67,12 +67,12 @@ def indexed(df: DataFrame, key: str = "company_id", order: str | list[str] = "da
             .withColumn("_b", F.floor(F.col("_i") / BLOCK)))
 
 
-def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> DataFrame:
-    """Add one column per spec; the input must carry ``_i`` and ``_b`` (see :func:`indexed`).
+def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id", order: str | list[str] = "date") -> DataFrame:
+    """Add one column per spec, along ``order``; the input may carry ``_i`` and ``_b`` (see :func:`indexed`).
 
     An average is NULL before its seed; a NULL input later keeps the average as it is.
     """
-    run = Window.partitionBy(key).orderBy("_b", "_i")
+    run = Window.partitionBy(key).orderBy(order)
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     names = list(specs)
     number = {s.index: f"_n_{s.index}" for s in specs.values()}
@@ -87,7 +87,7 @@ def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> Dat
         return F.col(number[s.index]) - 1 - F.col(blocks[s.index, s.block]) * s.block
 
     for (c, length), q in blocks.items():
-        inside = Window.partitionBy(key, q).orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        inside = Window.partitionBy(key, q).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = []
         for name in names:
             s = specs[name]
@@ -113,12 +113,12 @@ def ewm(df: DataFrame, specs: Mapping[str, Ewm], key: str = "company_id") -> Dat
     return df.select(*[c for c in df.columns if c not in made and c not in specs], *out)
 
 
-def rsi_inputs(df: DataFrame, close: str = "close", key: str = "company_id", **extra: Column) -> DataFrame:
+def rsi_inputs(df: DataFrame, close: str = "close", key: str = "company_id", order: str = "date", **extra: Column) -> DataFrame:
     """Add ``_up`` and ``_down``, the gains and losses from row to row.
 
     ``extra`` columns over the same window are added in the same stage.
     """
-    delta = F.col(close) - F.lag(close, 1).over(Window.partitionBy(key).orderBy("_b", "_i"))
+    delta = F.col(close) - F.lag(close, 1).over(Window.partitionBy(key).orderBy(order))
     d = F.col("_d")
     return (df.select("*", delta.alias("_d"), *[c.alias(n) for n, c in extra.items()])
             .withColumn("_up", F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))))

@@ -12,7 +12,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Text with a header; fields may hold doubled quotes and line ends."""
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -25,4 +25,5 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Text with a header; quotes inside a field are doubled, so that line ends and commas survive."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

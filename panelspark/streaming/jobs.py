@@ -169,8 +169,9 @@ def ema_stream(bars: DataFrame, path: str, checkpoint: str, alpha: float) -> Str
                          F.when(~late, F.col("close")).alias("_x"), F.lit(1).alias("_o"))
         start = old.select("company_id", F.col("last").alias("date"), F.lit(None).cast("double").alias("close"),
                            F.lit(0).alias("_r"), "_n0", F.lit(False).alias("is_late"), F.col("_e0").alias("_x"), F.lit(0).alias("_o"))
-        both = ewm(indexed(new.unionByName(start), order=["_o", "date", "_r"]), {"ema": Ewm("_x", alpha)})
-        upto = Window.partitionBy("company_id").orderBy("_b", "_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        order = ["_o", "date", "_r"]
+        both = ewm(indexed(new.unionByName(start), order=order), {"ema": Ewm("_x", alpha)}, order=order)
+        upto = Window.partitionBy("company_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         n = F.col("_n0") + F.count(F.when(F.col("_o") == 1, F.col("_x"))).over(upto)
         done = reliable_checkpoint(both.withColumn("n", n), "ema")
         _batch_writer(f"{path}/bars")(done.where("_o = 1").select("company_id", "date", "close", "n", "ema", "is_late"), batch)
