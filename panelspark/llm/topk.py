@@ -67,7 +67,8 @@ def _search(batches: Iterator[pa.RecordBatch], q_ids: np.ndarray, q: np.ndarray,
             for t in range(0, len(q_ids), TILE):
                 s = (q[t:t + TILE] if exact else q[t:t + TILE].astype(np.int64).astype(object)) @ c.T
                 own = ids[None, :] == q_ids[t:t + TILE, None]
-                s = np.where(own, -2.0 ** 62 if not exact else -float(_EXACT), s)
+                # below every score of the tile, and no further, so that the selection stays in the exact range
+                s = np.where(own, s.min(initial=0) - 1, s)
                 pick = _top(s, ids, min(k + 1, len(ids)))
                 found_s.append(np.take_along_axis(s, pick, 1))
                 found_i.append(np.where(np.take_along_axis(own, pick, 1), none, ids[pick]))
@@ -82,6 +83,21 @@ def _search(batches: Iterator[pa.RecordBatch], q_ids: np.ndarray, q: np.ndarray,
         "score": pa.array([int(x) for x in best_s[r, col]], pa.int64()), "part": pa.array(np.full(len(r), part, np.int64))})
 
 
+def _cuts(asked: DataFrame, n: int, block: int) -> list[tuple[int, int]]:
+    """Ranges of the hash h with ``block`` queries at most; only the queries of one hash can be more."""
+    if n <= block:
+        return [(0, (1 << 20) - 1)]
+    step = 1 << 8
+    by = {r["g"]: r["n"] for r in asked.groupBy((F.col("h") / step).cast("int").alias("g")).agg(F.count("*").alias("n")).collect()}
+    cuts, low, total = [], 0, 0
+    for g in sorted(by):  # 4 096 at most
+        if total and total + by[g] > block:
+            cuts.append((low, g * step - 1))
+            low, total = g * step, 0
+        total += by[g]
+    return [*cuts, (low, (1 << 20) - 1)]
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 16_384, fan_in: int = 32) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of each query, its own id left out.
 
@@ -95,11 +111,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 16_
                   .withColumn("h", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20))), "queries")
     blocks = []
     for dim, n in [(r.dim, r.n) for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()]:
-        parts = -(-n // (block // 2))  # hashed apart: half a block on average, the whole as a bound
-        for p in range(parts):
-            rows = asked.filter((F.col("dim") == dim) & (F.col("h") % parts == p)).select("vec_id", "v").toPandas()
-            if len(rows) > block:
-                raise ValueError(f"a block of {len(rows)} queries is above the bound of {block}")
+        mine = asked.filter(F.col("dim") == dim)
+        for low, high in _cuts(mine, n, block):
+            rows = mine.filter(F.col("h").between(low, high)).select("vec_id", "v").toPandas()
             if len(rows):
                 ids, q = rows["vec_id"].to_numpy(np.int64), np.stack(rows["v"]).astype(float)
                 sent = spark.sparkContext.broadcast((ids, q))
