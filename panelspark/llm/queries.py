@@ -40,10 +40,13 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_quality_rules", rules.ORACLE)
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    rows = rules.ledger(table(spark, folder, "documents"))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits",
-                       (~rules.apply_policy(rows, "base-1")).alias("base_failed"),
-                       rules.apply_policy(rows, "web-1").alias("kept"))
+    rows = stage(rules.ledger(table(spark, folder, "documents")), "ledger")
+    effects = F.broadcast(rules.ablation(rows, "web-1").select(  # one row a rule
+        F.col("rule").alias("only_rule"), F.col("n_alone").alias("n_like")))
+    out = rows.withColumn("only_rule", rules.only_rule("web-1")).join(effects, "only_rule", "left")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits",
+                      (~rules.apply_policy(out, "base-1")).alias("base_failed"),
+                      rules.apply_policy(out, "web-1").alias("kept"), "only_rule", "n_like")
 
 
 @query("op10_mixing", mixing.ORACLE)

@@ -107,6 +107,12 @@ def apply_policy(rows: DataFrame, policy: str) -> Column:
     return rows["fail_bits"].bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0
 
 
+def only_rule(policy: str) -> Column:
+    """Name of the rule of the policy that a ledger row fails alone, so that it would be kept without it; else NULL."""
+    bits = F.col("fail_bits").bitwiseAND(F.lit(mask(POLICIES[policy])))
+    return F.coalesce(*[F.when(bits == (1 << k), F.lit(name)) for k, (name, _) in enumerate(RULES) if name in POLICIES[policy]])
+
+
 def ablation(rows: DataFrame, policy: str) -> DataFrame:
     """Per rule of a policy: documents that fail it, that fail it alone, and that the policy keeps without it.
 
@@ -144,5 +150,7 @@ f AS (SELECT *, {" + ".join(f"CASE WHEN {c} THEN {1 << k} ELSE 0 END" for k, (_,
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(bits AS BIGINT) AS fail_bits,
- (bits & {mask(BASE)}) <> 0 AS base_failed, (bits & {mask(POLICIES["web-1"])}) = 0 AS kept FROM f
+ (bits & {mask(BASE)}) <> 0 AS base_failed, (bits & {mask(POLICIES["web-1"])}) = 0 AS kept, only_rule,
+ CASE WHEN only_rule IS NOT NULL THEN CAST(count(*) OVER (PARTITION BY only_rule) AS BIGINT) END AS n_like
+FROM (SELECT *, CASE bits & {mask(POLICIES["web-1"])} {" ".join(f"WHEN {1 << k} THEN '{name}'" for k, (name, _) in enumerate(RULES) if name in POLICIES["web-1"])} END AS only_rule FROM f)
 """
