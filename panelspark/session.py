@@ -1,4 +1,4 @@
-"""Session helpers: where shared files go, and small-side size checks."""
+"""Session helpers: where shared files go, and how narrow scans are spread."""
 
 from __future__ import annotations
 
@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-#: Rows up to which a dimension may be inlined or broadcast after a check.
-SMALL_SIDE_ROWS = 10_000
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
@@ -42,19 +38,11 @@ def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> bool:
-    """True when the frame has at most ``max_rows`` rows.
-
-    Only a count of at most ``max_rows + 1`` rows reaches the driver.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a frame read from few files over the cores before heavy per-row work.
+    """Spread a scan of few partitions over the cores before heavy per-row work.
 
-    A table of at least as many files as cores is returned as it is, so large
-    inputs are not shuffled. Only the file list is looked at, nothing runs.
+    A scan of at least as many partitions as cores is returned as it is, so large inputs are not shuffled, and no row
+    changes. Only the number of partitions is asked for, nothing runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
