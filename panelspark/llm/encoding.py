@@ -23,6 +23,8 @@ _NOT_PLAIN = re.compile("\\s\\s|[ '<\x1c-\x1f\u0080-¿×÷İɐ-\U0010ffff]")
 _RUNS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[^A-Za-zÀ-ÖØ-öø-ɏ]+")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _SPACED = re.compile(r"\s ")
+_SPACE_PAIRS = [c + " " for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
+_MARKS = tuple(".,;:!?")
 _CUT = re.compile(r"(?<=\S) ")
 
 #: Characters of texts whose unseen words are learned together; a longer text is a step of its own.
@@ -58,17 +60,20 @@ class PieceEncoder:
         texts = [lead + (lead or "\n").join(b) for b in blocks]
         out: list[bytes] = []
         for block, e in zip(blocks, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            ids, of = e.ids, e.word_ids
+            data, ids, of = _pack(e.ids), e.ids, e.word_ids
             starts = [i for i, w in enumerate(of) if not i or w != of[i - 1]] + [len(ids)]
             parts = len(starts) - 1
             step = 1 if parts == len(block) else 2 if not lead and parts == 2 * len(block) - 1 else 0
             if step:
-                out += [_pack(ids[starts[i]:starts[i + 1]]) for i in range(0, parts, step)]
+                at = [4 * i for i in starts]
+                out += [data[i:j] for i, j in zip(at[0:parts:step], at[1::step])]
             else:
                 out += self._ids([lead + w for w in block])
         return out
 
     def _parts(self, piece: str, lead: str) -> list[str]:
+        if piece[-1:] in _MARKS and piece.isascii() and piece[:-1].isalpha():
+            return [lead + piece[:-1], piece[-1]]
         if not piece or piece[0].isspace() or _NOT_PLAIN.search(piece):
             return [lead + piece]
         parts = _RUNS.findall(piece)
@@ -77,15 +82,15 @@ class PieceEncoder:
 
     def _learn_runs(self, runs: Iterable[str]) -> None:
         missing = set(runs).difference(self.runs)
-        bare = [r for r in missing if _LETTERS.fullmatch(r)]
-        led = [r[1:] for r in missing if r[0:1] == " " and _LETTERS.fullmatch(r, 1)]
+        bare = [r for r in missing if _is_word(r)]
+        led = [r[1:] for r in missing if r[0:1] == " " and _is_word(r[1:])]
         rest = list(missing.difference(bare, [" " + w for w in led]))
         self.runs.update(zip(bare, self._words(bare, "")))
         self.runs.update(zip([" " + w for w in led], self._words(led, " ")))
         self.runs.update(zip(rest, self._ids(rest)))
 
     def _learn(self, missing: set[str]) -> None:
-        words = [p for p in missing if _LETTERS.fullmatch(p)]
+        words = [p for p in missing if _is_word(p)]
         self.pieces.update(zip(words, self._words(words, " ")))
         parts = {p: self._parts(p, " ") for p in missing.difference(words)}
         self._learn_runs(r for rs in parts.values() for r in rs)
@@ -93,7 +98,7 @@ class PieceEncoder:
             self.pieces[p] = b"".join([self.runs[r] for r in rs])
 
     def _block(self, texts: list[str]) -> Iterator[bytes]:
-        cuts = [_CUT.split(t) if _SPACED.search(t) else t.split(" ") for t in texts]
+        cuts = [_CUT.split(t) if _is_spaced(t) else t.split(" ") for t in texts]
         firsts = [self._parts(c[0], "") for c in cuts]
         if len(self.pieces) > self.max_entries:
             self.pieces.clear()
@@ -121,6 +126,17 @@ class PieceEncoder:
         return next(self.encode_many([text]))
 
 
+def _is_word(piece: str) -> bool:
+    return (piece.isascii() and piece.isalpha()) or _LETTERS.fullmatch(piece) is not None
+
+
+def _is_spaced(text: str) -> bool:
+    """Whether white space stands before a single space."""
+    if text.isascii():
+        return any(pair in text for pair in _SPACE_PAIRS)
+    return _SPACED.search(text) is not None
+
+
 def _pack(ids: list[int]) -> bytes:
     data = array("I", ids)
     if sys.byteorder == "big":
