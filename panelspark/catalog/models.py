@@ -186,7 +186,7 @@ def ridge_normal_equations(t: Tables) -> DataFrame:
     out = md.predict(model, df, names)
     stats = {f: (F.avg(f), F.stddev_samp(f)) for f in names}
     one = df.agg(F.struct(*[F.struct(a.alias("mu"), s.alias("sd")).alias(f) for f, (a, s) in stats.items()],
-                          F.stddev_samp("r").alias("sy")).alias("s")).select("s").scalar()
+                          F.stddev_pop("r").alias("sy")).alias("s")).select("s").scalar()
     out = out.withColumn("_s", one)
     # the solver scales the target by its deviation, and the penalty with it
     grad = [F.avg((F.col(f) - F.col(f"_s.{f}.mu")) / F.col(f"_s.{f}.sd") * (F.col("r") - F.col("pred")))
