@@ -97,7 +97,7 @@ def test_sector_rules(spark):
     comp = spark.createDataFrame([(1, 22), (2, 7), (3, 5)], "id int, sector_id int")
     got = {r.company_id: (r.revenue, r.operating_profit, r.ebitda) for r in st.map_sector(df, comp).collect()}
     assert got == {1: (5.0, None, None), 2: (7.0, None, None), 3: (9.0, 7.0, 8.0)}
-    cells = spark.createDataFrame([(3, 1, "I Q 2020", "Raport zbadany przez audytora", "T"), (3, 2, "I Q 2020", "Obroty (tys.)", "1,5")],
+    cells = spark.createDataFrame([(3, 1, "I Q 2020", "Raport zbadany przez audytora", "T"), (3, 1, "I Q 2020", "Obroty (tys.)", "1,5")],
                                   "company_id int, page int, kwartal string, header string, cell string")
     one = st.map_sector(landed.statement_rows(cells), comp).first()
     assert (one.audited, one.revenue) == ("T", 1.5)
