@@ -33,6 +33,10 @@ DECODED = "doc_id long, part long, rel_start long, n_tokens long, ids_crc32 long
 TRAIN_BYTES = 65_536
 
 
+#: Characters of a text by which rows of one id are dealt to ranges.
+OPENING = 16
+
+
 def _narrow(ids: bytes, width: int) -> bytes:
     return np.frombuffer(ids, "<u4").astype("<u2").tobytes() if width == 2 else ids
 
@@ -119,7 +123,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
             yield segment()
 
     spark = docs.sparkSession
-    (docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(encode, SEGMENTS)
+    # as many ranges as the scan has parts, so that a task's share does not grow with the table; the opening of a text
+    # splits the rows of one id where very many have it, in the order that they are sorted by anyway
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    dealt = docs.repartitionByRange(ranges, F.col("doc_id"), F.substring("text", 1, OPENING))
+    (dealt.sortWithinPartitions("doc_id", "text").mapInArrow(encode, SEGMENTS)
      .write.option("compression", "none").parquet(f"{path}/segments"))
     (spark.createDataFrame([(digest, width, bytearray(dictionary))], "dict_hash string, width int, data binary")
      .coalesce(1).write.parquet(f"{path}/dictionary"))
