@@ -52,7 +52,7 @@ GROUP_WIDTH = {2: 4, 3: 5}
 
 #: Bits of a shingle's fingerprint by which documents are counted, bits of those that name a slice of the counters,
 #: and counts gathered by a task before it sends them.
-COUNT_BITS, SLICE_LOG, FLUSH = 32, 12, 1 << 23
+COUNT_BITS, SLICE_LOG, FLUSH = 32, 12, 1 << 21
 
 #: Fingerprints from here on, a quarter of all, are compared first.
 PART_FROM = np.uint64(3 << 62)
