@@ -19,8 +19,8 @@ from .windows import recurrence_sql
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
-    """A supplied table as a file stream."""
-    return jobs.file_stream(t.spark, t.folder, t.raw(name).schema, f"{name}.parquet")
+    """A supplied table, one file or a folder of files, as a file stream; a stream takes a lone file only as a pattern."""
+    return jobs.file_stream(t.spark, f"{t.folder}/{{{name}}}.parquet", t.raw(name).schema)
 
 
 def _paths(t: Tables, name: str) -> tuple[str, str]:
