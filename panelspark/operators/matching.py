@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 #: Bytes of the phrases of one shard, on average; its table has at most as many states plus one.
 SHARD_BYTES = 1 << 17
 
+#: Bytes of the texts that are searched together; what a search holds beside them follows these, not the batch.
+SLICE_BYTES = 1 << 21
+
 #: Bytes of a lane, and lanes that step together.
 LANE, LANES = 4096, 4096
 
@@ -140,11 +144,20 @@ def holding(texts: DataFrame, id_col: str, text_col: str, phrases: DataFrame, ph
     return found.distinct() if shards > 1 else found
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts begin within SLICE_BYTES of each other; no text is cut."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    starts = np.flatnonzero(np.r_[True, np.diff(block) > 0]) if len(block) else np.zeros(0, np.int64)
+    for at, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
+        yield batch.slice(at, end - at)
+
+
 def _searcher(sent: Broadcast, kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, values = sent.value
         known: dict[int, list] = {}
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole)):
             texts, states = automaton.search(b.column(1))
             rows, out = [], []
             last, mine = -1, set()

@@ -59,3 +59,21 @@ def test_best_topic_over_blocks_and_ties(spark):
             assert got[i][0] == -best or abs(got[i][1] - s) < 1e-12
             assert abs(got[i][1] - s) < 1e-12
     assert nw.best_topic(a, t.limit(0)).where("context_tag_id IS NOT NULL").count() == 0
+
+
+def test_large_batches_are_searched_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    from panelspark.operators import matching
+    monkeypatch.setattr(matching, "SLICE_BYTES", 64)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["x" * 60, None, "ab" * 20, "", "b" * 200, "ab"])], ["_id", "_t"])
+    parts = list(matching._slices(batch))
+    assert [p.column(0).to_pylist() for p in parts] == [[0, 1, 2], [3, 4], [5]]
+    assert list(matching._slices(batch.slice(0, 0))) == []
+    sent = type("Sent", (), {"value": (matching.Automaton([b"ab", b"b"]), [[1], [2]])})
+    out = pa.Table.from_batches(matching._searcher(sent, pa.int64())(iter([batch])))
+    assert out.to_pydict() == {"_id": [2, 2, 4, 5, 5], "_v": [1, 2, 2, 1, 2]}
+    seen = []
+    monkeypatch.setattr(matching.Automaton, "search", lambda self, c, old=matching.Automaton.search: seen.append(len(c)) or old(self, c))
+    list(matching._searcher(sent, pa.int64())(iter([batch])))
+    assert seen == [3, 2, 1]
