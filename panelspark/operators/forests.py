@@ -21,6 +21,9 @@ from .models import _binomial_tail
 #: Bins of a feature, and nodes of all trees that are sent to the tasks at a time.
 BINS, MOST_NODES = 32, 1 << 20
 
+#: Sums that a task keeps until its end, and rows that it counts at a time.
+DENSE_CELLS, BUFFER_ROWS = 1 << 22, 1 << 17
+
 #: Rows among which a shadow is drawn, on average.
 SHADOW_ROWS = 1024
 
@@ -80,6 +83,19 @@ def _nodes(group: np.ndarray, bins: np.ndarray, feature: np.ndarray, cut: np.nda
     return node
 
 
+def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches together, about BUFFER_ROWS rows at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= BUFFER_ROWS:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def splits(rows: DataFrame, groups: Sequence[int], n_features: int, trees: int, depth: int, seed: int,
            bins: int = BINS) -> list[tuple[int, int, int, int, int, float]]:
     """(group number, tree, node, feature, bin, gain) of all splits of the groups' trees; rows go right above the bin."""
@@ -92,29 +108,54 @@ def splits(rows: DataFrame, groups: Sequence[int], n_features: int, trees: int,
     for level in range(depth):
         sent = rows.sparkSession.sparkContext.broadcast((names, feature, cut))
 
-        def gather(batches: Iterator[pa.RecordBatch], sent=sent, level=level) -> Iterator[pa.RecordBatch]:
+        first, at_level = (1 << level) - 1, 1 << level
+        cells = len(names) * at_level * width  # of one feature and tree
+        dense = cells * trees * n_features <= DENSE_CELLS
+
+        def tallied(buffer: list[pa.RecordBatch], sent=sent, level=level, at_level=at_level, first=first
+                    ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+            """tree, feature, cell of each live row, its weight, its weighted target."""
             known, feat, cuts = sent.value
-            for batch in batches:
-                grp = batch.column(1).to_numpy()
-                at = np.minimum(np.searchsorted(known, grp), len(known) - 1)
-                keep = np.flatnonzero(known[at] == grp)
-                if not len(keep):
-                    continue
-                g, rid = at[keep], batch.column(0).to_numpy()[keep]
-                y = batch.column(2).to_numpy()[keep]
-                b = batch.column(3).flatten().to_numpy().reshape(batch.num_rows, -1)[keep]
+            batch = pa.Table.from_batches(buffer).combine_chunks()
+            grp = batch.column(1).to_numpy()
+            at = np.minimum(np.searchsorted(known, grp), len(known) - 1)
+            keep = np.flatnonzero(known[at] == grp)
+            if not len(keep):
+                return
+            g, rid = at[keep], batch.column(0).to_numpy()[keep]
+            y = batch.column(2).to_numpy()[keep]
+            b = batch.column(3).combine_chunks().flatten().to_numpy().reshape(batch.num_rows, -1)[keep]
+            for tree in range(trees):
+                node = _nodes(g, b, feat, cuts, tree, level)
+                w = _weights(rid, tree, seed)
+                live = np.flatnonzero((node >= 0) & (w > 0))
+                base = (g[live] * at_level + node[live] - first) * width
+                for f in range(n_features):
+                    yield tree, f, base + b[live, f], w[live], w[live] * y[live]
+
+        def rows_of(tree: int, f: int, cell: np.ndarray, w: np.ndarray, s: np.ndarray, at_level=at_level, first=first) -> pa.RecordBatch:
+            slot = cell // width
+            at = (slot // at_level * trees + tree) * nodes + first + slot % at_level
+            return pa.RecordBatch.from_arrays(
+                [pa.array(at), pa.array(np.full(len(cell), f, np.int32)), pa.array((cell % width).astype(np.int32)), pa.array(w), pa.array(s)],
+                ["at", "f", "bin", "w", "s"])
+
+        def gather(batches: Iterator[pa.RecordBatch], cells=cells, dense=dense, tallied=tallied, rows_of=rows_of) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, trees, n_features, cells)) if dense else None
+            for buffer in _buffers(batches):
+                for tree, f, cell, w, s in tallied(buffer):
+                    if dense:  # sums of the whole task, handed on once
+                        total[0, tree, f] += np.bincount(cell, w, cells)
+                        total[1, tree, f] += np.bincount(cell, s, cells)
+                    elif len(cell):
+                        key, back = np.unique(cell, return_inverse=True)
+                        yield rows_of(tree, f, key, np.bincount(back, w), np.bincount(back, s))
+            if dense:
                 for tree in range(trees):
-                    node = _nodes(g, b, feat, cuts, tree, level)
-                    w = _weights(rid, tree, seed)
-                    live = np.flatnonzero((node >= 0) & (w > 0))
-                    base = (g[live] * trees + tree) * nodes + node[live]
                     for f in range(n_features):
-                        key, back = np.unique(base * width + b[live, f], return_inverse=True)
+                        key = np.flatnonzero(total[0, tree, f])
                         if len(key):
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(key // width), pa.array(np.full(len(key), f, np.int32)), pa.array((key % width).astype(np.int32)),
-                                 pa.array(np.bincount(back, w[live])), pa.array(np.bincount(back, w[live] * y[live]))],
-                                ["at", "f", "bin", "w", "s"])
+                            yield rows_of(tree, f, key, total[0, tree, f, key], total[1, tree, f, key])
 
         sums = (rows.select("rid", "grp", "y", "b").mapInArrow(gather, "at long, f int, bin int, w double, s double")
                 .groupBy("at", "f", "bin").agg(F.sum("w").alias("w"), F.sum("s").alias("s")))
