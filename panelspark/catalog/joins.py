@@ -16,7 +16,7 @@ from .tables import Tables, with_tables
                                         "market_data", "fundamentals"))
 def asof_fundamentals(t: Tables) -> DataFrame:
     return jn.asof_by_key(t.market_data.select("company_id", "date", "close"),
-                          t.fundamentals.select("company_id", "date", "revenue", "operating_profit", "net_profit", "ebitda"))
+                          t.fundamentals.select("company_id", "date", "revenue", "operating_profit", "net_profit", "ebitda"), parts=t.parts)
 
 
 @query("asof_macro", with_tables("""SELECT m.company_id, m.date, m.close, f.gdp, f.cpi, f.unemployment_rate, f.interest_rate,

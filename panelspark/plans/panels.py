@@ -54,7 +54,7 @@ def features_bank(companies: DataFrame, market: DataFrame, fundamentals: DataFra
 
 
 def _base(companies: DataFrame, market: DataFrame, fundamentals: DataFrame, macro: DataFrame,
-          end: Date | Column, mode: str, need: str) -> DataFrame:
+          end: Date | Column, mode: str, need: str, parts: int | None = None) -> DataFrame:
     """Bars on the business days of each sector's range, with as-of values.
 
     A left join of the business-day grid with the bars, followed by dropping the
@@ -67,19 +67,19 @@ def _base(companies: DataFrame, market: DataFrame, fundamentals: DataFrame, macr
               .join(starts, "sector_id").drop("sector_id"))
     bars = (market.where(is_business_day("date") & (F.col("date") <= end) & F.col(need).isNotNull())
             .join(active, "company_id").where(F.col("date") >= F.col("start_date")).drop("start_date"))
-    return asof_series(asof_by_key(bars, fundamentals), macro)
+    return asof_series(asof_by_key(bars, fundamentals, parts=parts), macro)
 
 
 def features_v1(companies: DataFrame, indicators: DataFrame, fundamentals: DataFrame, macro: DataFrame,
-                end: Date | Column, mode: str = "min") -> DataFrame:
+                end: Date | Column, mode: str = "min", parts: int | None = None) -> DataFrame:
     """Indicator bars with as-of statements and macro values."""
-    return _base(companies, indicators, fundamentals, macro, end, mode, "open")
+    return _base(companies, indicators, fundamentals, macro, end, mode, "open", parts)
 
 
 def features_v2(companies: DataFrame, market: DataFrame, fundamentals: DataFrame, macro: DataFrame,
-                end: Date | Column, mode: str = "min") -> DataFrame:
+                end: Date | Column, mode: str = "min", parts: int | None = None) -> DataFrame:
     """Raw bars with as-of statements and macro values."""
-    return _base(companies, market, fundamentals, macro, end, mode, "open")
+    return _base(companies, market, fundamentals, macro, end, mode, "open", parts)
 
 
 def transforms_v3(df: DataFrame) -> DataFrame:
@@ -105,8 +105,8 @@ def transforms_v3(df: DataFrame) -> DataFrame:
 
 
 def features_v3(companies: DataFrame, indicators: DataFrame, fundamentals: DataFrame, macro: DataFrame,
-                end: Date | Column, mode: str = "min") -> DataFrame:
+                end: Date | Column, mode: str = "min", parts: int | None = None) -> DataFrame:
     """Transformed features of the indicator bars."""
-    out = transforms_v3(_base(companies, indicators, fundamentals, macro, end, mode, "close"))
+    out = transforms_v3(_base(companies, indicators, fundamentals, macro, end, mode, "close", parts))
     return keep_columns(out, V3_COLUMNS)
 
