@@ -50,3 +50,13 @@ def test_a_task_hands_its_sums_on_once(spark):
     assert sorted(dense) == sorted(sparse) and dense
     parts = [pa.RecordBatch.from_arrays([pa.array(range(n))], ["rid"]) for n in (5, 0, 7)]
     assert [[b.num_rows for b in x] for x in forests._buffers(iter(parts))] == [[5, 7]]
+
+
+def test_partitions_are_named_though_the_session_has_as_many(spark, tmp_path, monkeypatch):
+    _lines(spark, tmp_path)
+    plain = {tuple(r) for r in entry.queries()["macd_plain"](spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(session, "TASK_ROWS", 1000)
+    assert session.parts_for(spark, 1000) is None and session.parts_for(spark, 1001) == 8
+    t = Tables(spark, str(tmp_path))
+    assert t.parts == 8 and t.bars.rdd.getNumPartitions() == 8  # not joined to fewer, larger ones
+    assert {tuple(r) for r in entry.queries()["macd_plain"](spark, str(tmp_path)).collect()} == plain
