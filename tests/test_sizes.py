@@ -60,3 +60,12 @@ def test_partitions_are_named_though_the_session_has_as_many(spark, tmp_path, mo
     t = Tables(spark, str(tmp_path))
     assert t.parts == 8 and t.bars.rdd.getNumPartitions() == 8  # not joined to fewer, larger ones
     assert {tuple(r) for r in entry.queries()["macd_plain"](spark, str(tmp_path)).collect()} == plain
+
+
+def test_bars_sort_their_lines_once_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    _lines(spark, tmp_path)
+    plain = {tuple(r) for r in Tables(spark, str(tmp_path)).market_data.collect()}
+    monkeypatch.setattr(session, "TASK_ROWS", 200)
+    bars = Tables(spark, str(tmp_path)).market_data
+    assert bars.rdd.getNumPartitions() == 20  # of 200 lines each, and no second shuffle that joins them again
+    assert {tuple(r) for r in bars.collect()} == plain and len(plain) == 4000
