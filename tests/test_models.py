@@ -113,3 +113,66 @@ def test_predictions_keep_incomplete_rows(spark):
         out = {r.i: r.pred for r in md.predict(model, df, ["a", "b"]).collect()}
         assert out[100] is None and out[101] is None and len(out) == 92
         assert np.mean([abs(out[i] - y) for i, _, _, y in rows]) < 0.5
+
+
+def _noisy(spark, n=900):
+    rng = np.random.default_rng(7)
+    rows = [(i, *map(float, x), float(3 * x[0] + rng.normal())) for i, x in enumerate(rng.normal(size=(n, 6)))]
+    return spark.createDataFrame(rows + [(-1, None, 1.0, 1.0, None, 1.0, 1.0, 2.0), (-2, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, None)],
+                                 "i int, a double, b double, c double, d double, e double, f double, y double")
+
+
+def test_a_selection_does_not_depend_on_the_layout(spark, monkeypatch):
+    levels = []
+    best = fs.best_splits
+    monkeypatch.setattr(fs, "best_splits", lambda sums: levels.append(1) or best(sums))
+    names = ["a", "b", "c", "d", "e", "f"]
+    found = [md.shadow_selection(_noisy(spark).repartition(n), names, "y", ["i"], rounds=7, trees=4, depth=3).collect() for n in (1, 5)]
+    assert found[0] == found[1] and len(levels) == 2 * 3  # all rounds share the pass of a level
+    assert [r.hits for r in found[0] if r.feature == "a"] == [7] and all(r.hits < 7 for r in found[0] if r.feature != "a")
+
+
+def test_blocks_hold_every_row_once(spark, monkeypatch):
+    monkeypatch.setattr(fs, "BLOCK_ROWS", 64)
+    df = _noisy(spark).withColumn("k", F.when(F.col("i") % 2 == 0, F.lit(None).cast("int")).otherwise(F.col("i")))  # half of the ids equal
+    out = fs.random_blocks(df.where("y IS NOT NULL"), ["a", "d"], "y", ["k"], bins=8).collect()
+    assert len({(r.block, r.chunk) for r in out}) == len(out) > 14 and max(len(r.y) // 8 for r in out) <= 128
+    y = np.concatenate([np.frombuffer(r.y) for r in out])
+    assert len(y) == 901 and abs(y.mean()) < 1e-9
+    b = np.concatenate([np.frombuffer(r.b, np.uint8).reshape(-1, 2) for r in out])
+    assert len(b) == 901 and (b == 8).sum(axis=0).tolist() == [1, 1] and np.bincount(b[:, 0], minlength=9)[:8].min() > 90
+
+
+def test_forest_gains_against_plain_sums(spark, monkeypatch):
+    monkeypatch.setattr(fs, "BLOCK_ROWS", 300)
+    df = _noisy(spark).where("y IS NOT NULL")
+    blocks = fs.random_blocks(df, ["a", "b"], "y", ["i"], bins=8)
+    got = fs.shadow_gains(blocks, 2, 3, 1, 2, 5, bins=8)
+    lots, fs.DENSE_CELLS = fs.DENSE_CELLS, 0  # a round at a time
+    try:
+        alone = fs.shadow_gains(blocks, 2, 3, 1, 2, 5, bins=8)
+    finally:
+        fs.DENSE_CELLS = lots
+    assert np.allclose(got, alone) and np.allclose(got.sum(axis=1), 1)
+    for r in range(3):
+        x, y, w = [], [], []
+        for row in blocks.collect():
+            n = len(row.y) // 8
+            b = np.frombuffer(row.b, np.uint8).reshape(n, -1)
+            x.append(np.concatenate([b, b[np.random.default_rng([5, r, row.block, row.chunk]).permutation(n)]], axis=1))
+            y.append(np.frombuffer(row.y))
+            w.append(fs._DRAWN[np.random.default_rng([5, r, row.block, row.chunk, 1]).integers(0, 1 << 16, n, np.uint16)])
+        x, y, w = map(np.concatenate, (x, y, w))
+        gain = np.zeros(4)
+
+        def grow(on, level, gain=gain, x=x, y=y, w=w):
+            part = lambda m: (w[m] * y[m]).sum() ** 2 / w[m].sum()
+            best = max(((part(on & (x[:, f] <= c)) + part(on & (x[:, f] > c)) - part(on), -f, -c) for f in range(4) for c in range(9)
+                        if w[on & (x[:, f] <= c)].sum() and w[on & (x[:, f] > c)].sum()), default=None)
+            if best and best[0] > 1e-9:
+                gain[-best[1]] += best[0]
+                if level:
+                    grow(on & (x[:, -best[1]] <= -best[2]), level - 1)
+                    grow(on & (x[:, -best[1]] > -best[2]), level - 1)
+        grow(np.ones(len(y), bool), 1)
+        assert np.allclose(got[r], gain / gain.sum(), atol=1e-6)
