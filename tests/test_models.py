@@ -176,3 +176,38 @@ def test_forest_gains_against_plain_sums(spark, monkeypatch):
                     grow(on & (x[:, -best[1]] > -best[2]), level - 1)
         grow(np.ones(len(y), bool), 1)
         assert np.allclose(got[r], gain / gain.sum(), atol=1e-6)
+
+
+def test_ridge_is_one_pass_and_solves_its_equations(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 3)) * [1.0, 50.0, 1e-3] + [0.0, 1e4, 5.0]
+    y = x @ [0.5, 0.02, 100.0] + rng.normal(size=500)
+    rows = [(*map(float, a), 7.0, float(b)) for a, b in zip(x, y)] + [(None, 1.0, 1.0, 7.0, 1.0), (1.0, 1.0, 1.0, 7.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, y double").repartition(6)
+    spark.sparkContext.setJobGroup("ridge", "ridge")
+    model = md.fit_ridge(df, ["a", "b", "c", "k"], "y", 0.1)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("ridge")) == 2  # the shuffle asked for above, and one pass
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    want = np.linalg.solve(z.T @ z / 500 + 0.1 / y.std() * np.eye(3), z.T @ (y - y.mean()) / 500)
+    assert np.allclose(model.coefficients, [*want, 0.0], rtol=1e-9)
+    out = md.predict(model, df, ["a", "b", "c", "k"]).collect()
+    assert sum(r.pred is None for r in out) == 1 and len(out) == 502
+    at = {r.a: r.pred for r in out if r.y is not None}
+    assert np.allclose([at[float(a[0])] for a in x], z @ want + y.mean(), rtol=1e-9)
+
+
+def test_moments_from_lags_are_those_of_frames(spark):
+    from panelspark.operators import windows as tw
+    from panelspark.plans import frames
+    rng = np.random.default_rng(2)
+    rows = [(c, D(2024, 1, 1) + dt.timedelta(days=i), None if i == 20 else float(x)) for c in (1, 2) for i, x in enumerate(rng.uniform(50, 90, 45))]
+    df, w = spark.createDataFrame(rows, "company_id int, date date, close double"), tw.series()
+    out, names = frames._returns(df, 10, (5, 10, 21), w, {"later": F.lead("close").over(w)})
+    assert out.columns == [*df.columns, "r", *names, "later"] and names[10:] == ["r_ma_5", "r_ma_10", "r_ma_21", "r_std_5", "r_std_10", "r_std_21"]
+    assert out._jdf.queryExecution().executedPlan().toString().count("stddev_samp") < 10  # the frame of 21 rows alone
+    for n in (5, 10, 21):
+        both = out.select(f"r_ma_{n}", f"r_std_{n}", tw.rolling(F.avg, "r", n, w).alias("m"), tw.rolling(F.stddev_samp, "r", n, w).alias("s")).collect()
+        assert sum(r.m is None for r in both) > 2 * n and any(r.m is not None for r in both)
+        for m, s, want_m, want_s in both:
+            assert (m is None) == (want_m is None) and (s is None) == (want_s is None)
+            assert m is None or (abs(m - want_m) < 1e-12 and abs(s - want_s) < 1e-12)
