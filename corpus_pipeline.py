@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import language, mixing, packing, quality, simhash
-from panelspark.llm.common import packed, stage, table
+from panelspark.llm.common import packed, stage, table, text_batches
 
 #: Score below which the quality classifier rejects a document.
 MIN_QUALITY = 0.3
@@ -21,6 +21,7 @@ MIN_QUALITY = 0.3
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose labelled neighbours vote for quality; the labels are those of kept and lost documents alike."""
+    text_batches(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     rows = quality.score(packed(docs, "text"), model)
     return rows.filter(F.col("quality_score") >= MIN_QUALITY).select("row.*")
@@ -28,12 +29,14 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the table's own texts teach; texts without letters go."""
+    text_batches(spark)
     rows = language.predict(packed(docs, "text"), language.train(docs))
     return rows.filter(language.kept(rows)).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of linked fingerprints: the one with the smallest id."""
+    text_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -44,6 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequences and offsets."""
+    text_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

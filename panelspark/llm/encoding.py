@@ -14,7 +14,8 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import chain, compress, islice
+from operator import ne
 
 from tokenizers import Tokenizer
 
@@ -29,15 +30,23 @@ _CUT = re.compile(r"(?<=\S) ")
 
 #: Characters of texts whose unseen words are learned together; a longer text is a step of its own.
 STEP = 1_000_000
-#: Unseen words that go through the tokenizer as one text.
-JOINED = 256
+#: Unseen words that go through the tokenizer as one text, and such texts at a time: a token's record takes a hundred bytes.
+JOINED, TEXTS = 256, 16
+
+
+def _make_room(known: dict[str, bytes], used: set[str], most: int) -> None:
+    """Forget what is not used now, if more than ``most`` is remembered."""
+    if len(known) > most:
+        kept = {p: known[p] for p in used.intersection(known)}
+        known.clear()
+        known.update(kept)
 
 
 class PieceEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    ``max_entries`` bounds the remembered pieces of a worker, and their parts; beyond it all are forgotten. An empty text
-    has no ids.
+    ``max_entries`` bounds the remembered pieces of a worker, half as many of their parts; beyond it only those of the
+    texts at hand stay. An empty text has no ids.
     """
 
     def __init__(self, path: str, max_entries: int = 300_000) -> None:
@@ -59,9 +68,10 @@ class PieceEncoder:
         blocks = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
         texts = [lead + (lead or "\n").join(b) for b in blocks]
         out: list[bytes] = []
-        for block, e in zip(blocks, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        some = (self.tokenizer.encode_batch(texts[i:i + TEXTS], add_special_tokens=False) for i in range(0, len(texts), TEXTS))
+        for block, e in zip(blocks, chain.from_iterable(some)):
             data, ids, of = _pack(e.ids), e.ids, e.word_ids
-            starts = [i for i, w in enumerate(of) if not i or w != of[i - 1]] + [len(ids)]
+            starts = [0, *compress(range(1, len(ids)), map(ne, of[1:], of)), len(ids)]
             parts = len(starts) - 1
             step = 1 if parts == len(block) else 2 if not lead and parts == 2 * len(block) - 1 else 0
             if step:
@@ -80,34 +90,35 @@ class PieceEncoder:
         parts[0] = lead + parts[0]
         return parts
 
-    def _learn_runs(self, runs: Iterable[str]) -> None:
-        missing = set(runs).difference(self.runs)
-        bare = [r for r in missing if _is_word(r)]
-        led = [r[1:] for r in missing if r[0:1] == " " and _is_word(r[1:])]
-        rest = list(missing.difference(bare, [" " + w for w in led]))
+    def _learn_runs(self, missing: set[str]) -> None:
+        bare, led, rest = [], [], []
+        for r in missing:
+            if r[0:1] != " ":
+                (bare if _is_word(r) else rest).append(r)
+            elif (w := r[1:]) in self.pieces:
+                self.runs[r] = self.pieces[w]
+            else:
+                (led if _is_word(w) else rest).append(r)
         self.runs.update(zip(bare, self._words(bare, "")))
-        self.runs.update(zip([" " + w for w in led], self._words(led, " ")))
+        self.runs.update(zip(led, self._words([r[1:] for r in led], " ")))
         self.runs.update(zip(rest, self._ids(rest)))
 
-    def _learn(self, missing: set[str]) -> None:
-        words = [p for p in missing if _is_word(p)]
+    def _block(self, texts: list[str]) -> list[bytes]:
+        cuts = [_CUT.split(t) if _is_spaced(t) else t.split(" ") for t in texts]
+        firsts = [self._parts(c[0], "") for c in cuts]
+        used = set(chain.from_iterable(islice(c, 1, None) for c in cuts))
+        _make_room(self.pieces, used, self.max_entries)
+        new = used.difference(self.pieces)
+        words = [p for p in new if _is_word(p)]
+        parts = {p: self._parts(p, " ") for p in new.difference(words)}
+        runs = set(chain(chain.from_iterable(firsts), chain.from_iterable(parts.values())))
+        _make_room(self.runs, runs, self.max_entries // 2)
         self.pieces.update(zip(words, self._words(words, " ")))
-        parts = {p: self._parts(p, " ") for p in missing.difference(words)}
-        self._learn_runs(r for rs in parts.values() for r in rs)
+        self._learn_runs(runs.difference(self.runs))
         for p, rs in parts.items():
             self.pieces[p] = b"".join([self.runs[r] for r in rs])
-
-    def _block(self, texts: list[str]) -> Iterator[bytes]:
-        cuts = [_CUT.split(t) if _is_spaced(t) else t.split(" ") for t in texts]
-        firsts = [self._parts(c[0], "") for c in cuts]
-        if len(self.pieces) > self.max_entries:
-            self.pieces.clear()
-        if len(self.runs) > self.max_entries:
-            self.runs.clear()
-        self._learn_runs(chain.from_iterable(firsts))
-        self._learn(set(chain.from_iterable(islice(c, 1, None) for c in cuts)).difference(self.pieces))
-        for text, first, c in zip(texts, firsts, cuts):
-            yield b"".join([*[self.runs[r] for r in first], *map(self.pieces.__getitem__, islice(c, 1, None))]) if text else b""
+        return [b"".join([*[self.runs[r] for r in first], *map(self.pieces.__getitem__, islice(c, 1, None))])
+                if text else b"" for text, first, c in zip(texts, firsts, cuts)]
 
     def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text in turn; NULL is empty. Texts are taken ``STEP`` characters at a time, a longer one alone."""

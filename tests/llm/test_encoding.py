@@ -22,3 +22,14 @@ def test_pieces_give_the_ids_of_whole_texts(name):
     assert len(got) == len(texts)
     for text, data in zip(texts, got):
         assert np.frombuffer(data, "<u4").tolist() == e.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_words_at_hand_are_not_learned_again(monkeypatch):
+    e = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), max_entries=100)
+    learned, words = [], PieceEncoder._words
+    monkeypatch.setattr(PieceEncoder, "_words", lambda self, some, lead: learned.extend(some) or words(self, some, lead))
+    rare = ["".join(random.Random(i).choice("abcdefgh") for _ in range(9)) for i in range(400)]
+    for i in range(4):
+        list(e.encode_many([" ".join(["the", "often", "used", *rare[100 * i:100 * i + 100], "word", "word."])]))
+        assert len(e.pieces) <= 203 and len(e.runs) <= 110
+    assert learned.count("often") == learned.count("used") == learned.count("word") == 1

@@ -136,3 +136,16 @@ def test_quality_learns_from_training_rows_only(spark):
     assert a == b
     voted = spark.createDataFrame(list(a.items()), "doc_id long, s double").join(labels, "doc_id").filter(held_out("doc_id", 5, 0))
     assert voted.filter((F.col("s") >= 0.3).cast("int") == F.col("quality")).count() >= 0.9 * voted.count()
+
+
+def test_stages_hand_texts_over_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(1, "one two three", "a", "en")], "doc_id long, text string, source string, lang string")
+    try:
+        for chosen, then in ((10_000, 1024), (77, 77)):
+            spark.conf.set(key, chosen)
+            corpus_pipeline.drop_near_duplicates(spark, docs, "")
+            assert int(spark.conf.get(key)) == then
+    finally:
+        spark.conf.set(key, before)
