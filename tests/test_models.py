@@ -211,3 +211,31 @@ def test_moments_from_lags_are_those_of_frames(spark):
         for m, s, want_m, want_s in both:
             assert (m is None) == (want_m is None) and (s is None) == (want_s is None)
             assert m is None or (abs(m - want_m) < 1e-12 and abs(s - want_s) < 1e-12)
+
+
+def test_trees_read_stored_vectors(spark, monkeypatch):
+    stored, keep = [], md.reliable_checkpoint
+    monkeypatch.setattr(md, "reliable_checkpoint", lambda df, name="stage": stored.append((name, df.columns)) or keep(df, name))
+    rows = [(i, float(i % 7), None if i == 9 else float(i % 3), float(i % 7 > 3), 1.0, i % 5 == 0) for i in range(90)]
+    df = spark.createDataFrame(rows, "i int, a double, b double, y double, w double, v boolean")
+    plain = md.fit_gbt(df, ["a", "b"], "y", max_iter=2, depth=2)
+    md.fit_gbt(df, ["a", "b"], "y", max_iter=2, depth=2, weight="w", valid="v")
+    sorted_out = md.fit_gbt_classifier(df.withColumn("part", F.when(F.col("v"), "stop").otherwise("train")), ["a", "b"], "y",
+                                       max_iter=2, depth=2, weight="w")
+    assert stored == [("vectors", ["features", "y"]), ("vectors", ["features", "y", "w", "v"]), ("vectors", ["features", "y", "w", "_stop"])]
+    assert md.predict(plain, df, ["a", "b"]).count() == md.predict_class(sorted_out, df).count() == 90
+
+
+def test_panel_weights_need_no_join(spark):
+    from panelspark.catalog import models as cm
+    from panelspark.operators import aggregates as ag
+    rows = [(c, D(2024, 1, 1) + dt.timedelta(days=i), 50.0 + (i * 7 + (c or 0)) % 11) for c, n in ((1, 40), (2, 60), (None, 50)) for i in range(n)]
+
+    class Bars:
+        bars = spark.createDataFrame(rows, "company_id int, date date, close double")
+
+    frame, _ = cm._frame(Bars, parts=True, weights=True)
+    mean = frame.agg(F.avg("weight")).first()[0]
+    got = {(r.company_id, r.date): r.weight / mean for r in frame.where("weight IS NOT NULL").collect()}
+    want = {(r.company_id, r.date): r.weight for r in ag.sample_weights(frame.drop("weight"), balance=True).collect()}
+    assert got.keys() == want.keys() and len(got) > 40 and all(abs(got[k] - want[k]) < 1e-12 for k in want)
