@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from panelspark.operators import forests as fs
@@ -239,3 +240,23 @@ def test_panel_weights_need_no_join(spark):
     got = {(r.company_id, r.date): r.weight / mean for r in frame.where("weight IS NOT NULL").collect()}
     want = {(r.company_id, r.date): r.weight for r in ag.sample_weights(frame.drop("weight"), balance=True).collect()}
     assert got.keys() == want.keys() and len(got) > 40 and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_boosting_goes_on_while_the_error_falls(spark, monkeypatch):
+    from panelspark.catalog import models as cm
+    rows = [(i, float(i % 40), float(i % 40) * 1e-3, i % 4 == 0) for i in range(400)]  # an error far below the tolerance of MLlib
+    df = spark.createDataFrame(rows, "i int, a double, y double, v boolean")
+    assert len(md.fit_gbt(df, ["a"], "y", max_iter=12, depth=2, valid="v").stages[-1].trees) == 12
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, features, label, **given):
+        raise Seen(given)
+
+    frame = spark.createDataFrame([(1, 0.5, 1.0, "train"), (1, 0.5, 1.0, "test")], "company_id int, r double, weight double, part string")
+    monkeypatch.setattr(cm, "_frame", lambda *a, **b: (frame, ["r"]))
+    monkeypatch.setattr(md, "fit_gbt", seen)
+    with pytest.raises(Seen) as x:
+        cm.gbt_panel(None)
+    assert x.value.args[0].keys() == {"weight", "valid"}  # 600 trees of depth 6
