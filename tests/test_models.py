@@ -260,3 +260,34 @@ def test_boosting_goes_on_while_the_error_falls(spark, monkeypatch):
     with pytest.raises(Seen) as x:
         cm.gbt_panel(None)
     assert x.value.args[0].keys() == {"weight", "valid"}  # 600 trees of depth 6
+
+
+def test_selection_query_does_the_whole_job(spark, monkeypatch):
+    from panelspark.catalog import models as cm
+    given = []
+    monkeypatch.setattr(cm, "joined_panel", lambda t: None)
+    monkeypatch.setattr(md, "shadow_selection", lambda df, features, target, ids, **other: given.append(other))
+    cm.shadow_selection(None)
+    assert given == [{}]  # rounds, trees and depth are the operator's
+
+
+def test_groups_share_the_pass_of_a_level(spark, monkeypatch):
+    levels, best = [], fs.best_splits
+    monkeypatch.setattr(fs, "best_splits", lambda sums: levels.append(1) or best(sums))
+    monkeypatch.setattr(fs, "BLOCK_ROWS", 64)
+    found = [fs.keyed_selection(grouped(spark).repartition(n), "g", ["a", "b", "c"], "y", ["g", "i"], rounds=9, trees=3, depth=3).collect()
+             for n in (1, 5)]
+    assert len(levels) == 2 * 3 and sorted(found[0]) == sorted(found[1])
+    blocks, names = fs.grouped_blocks(fs.binned(grouped(spark), "g", ["a", "b"], "y", ["g", "i"], bins=8))
+    out = blocks.collect()
+    assert names == [3, 8, 9] and len({(r.block, r.chunk) for r in out}) == len(out) and max(len(r.y) // 8 for r in out) <= 128
+    assert {g: sum(len(r.y) // 8 for r in out if r.grp == g) for g in names} == {3: 400, 8: 401, 9: 5}
+    assert all(len(r.b) == 2 * len(r.y) // 8 for r in out)
+    assert all(abs(sum(np.frombuffer(r.y).sum() for r in out if r.grp == g)) < 1e-9 for g in names)
+
+
+def test_tasks_that_share_the_trees_grow_the_same(spark, monkeypatch):
+    monkeypatch.setattr(fs, "BLOCK_ROWS", 100)
+    blocks, names = fs.grouped_blocks(fs.binned(grouped(spark), "g", ["a", "b"], "y", ["g", "i"], bins=8))
+    one, many = (fs._forests(blocks, names, range(2), 5, 3, 11, 4, 2, 8, shares) for shares in (1, 4))
+    assert np.allclose(one, many) and one.shape == (3, 10, 4) and (one[:2].sum(axis=2) > 0).all()
