@@ -237,3 +237,21 @@ def test_no_query_uses_a_cartesian_product(spark):
     for name in ("features_v2", "news_label_phrase", "topic_argmax", "ar1_forecast", "clf_metrics", "quantile", "bday_grid"):
         p = plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
         assert "Cartesian" not in p and "NestedLoop" not in p, name
+
+
+def test_panel_frame_is_not_stored_wide(spark, monkeypatch):
+    from panelspark.plans import frames
+    stored, keep = [], frames.reliable_checkpoint
+    monkeypatch.setattr(frames, "reliable_checkpoint", lambda df, name="stage": stored.append(df.columns) or keep(df, name))
+    rows = [(c, D(2024, 1, 1) + dt.timedelta(days=i), 50.0 + (i * 7 + c * i) % 11, 1.0, 3.0 if c == 9 else 2.0, 5.0)
+            for c in (1, 2, 9) for i in range(60)]
+    df = spark.createDataFrame(rows, "company_id int, date date, close double, open double, gdp double, cpi double")
+    monkeypatch.setattr(frames, "FEW_ROWS", 1)  # one company, in which gdp does not vary
+    out, features = frames.model_frame_panel(df.repartition(1, "company_id").sortWithinPartitions("company_id", "date"))
+    assert stored == [["company_id", "date", "close", "gdp", "cpi"]]
+    whole, every = frames.model_frame_panel(df, remove_constant=False)
+    rows = whole.collect()
+    constant = {f for f in every if len({r[f] for r in rows}) == 1}
+    assert "cpi_lag1" in constant and "gdp_lag1" not in constant
+    assert features == [f for f in every if f not in constant] and out.columns == [c for c in whole.columns if c not in constant]
+    assert sorted(out.collect()) == sorted(whole.drop(*constant).collect()) and len(rows) > 30
