@@ -80,7 +80,42 @@ _DRAWS = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1, 9)]))
 
 def _weights(rid: np.ndarray, tree: int, seed: int) -> np.ndarray:
     h = _mixed(rid.view(np.uint64) + np.uint64((seed * 1_000_003 + tree * 7919 + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-    return np.searchsorted(_DRAWS, (h >> np.uint64(11)).astype(np.float64) / 2.0 ** 53, "right").astype(np.float64)
+    u, w = (h >> np.uint64(11)).astype(np.float64) / 2.0 ** 53, np.zeros(len(rid))
+    for d in _DRAWS:
+        w += u >= d
+    return w
+
+
+def _xxhash64(rid: np.ndarray, number: int) -> np.ndarray:
+    """Spark's xxhash64 of a long and an int."""
+    a, b, c, d, e = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    def ended(h: np.ndarray) -> np.ndarray:
+        h = (h ^ (h >> np.uint64(33))) * b
+        h = (h ^ (h >> np.uint64(29))) * c
+        return h ^ (h >> np.uint64(32))
+
+    h = turned(rid.view(np.uint64) * b, 31) * a ^ np.uint64(0x27D4EB2F165667C5 + 8 + 42)
+    h = ended(turned(h, 27) * a + d)
+    h = (h + e + np.uint64(4)) ^ np.uint64((number & 0xFFFFFFFF) * 0x9E3779B185EBCA87 & (1 << 64) - 1)
+    return ended(turned(h, 23) * b + c).view(np.int64)
+
+
+def _shadow_rows(rid: np.ndarray, seed: int, among: int) -> np.ndarray:
+    """Row whose bins are each row's shadow, as ``with_shadows`` draws them; rows are in the order of rid."""
+    parts = max(1, -(-len(rid) // among))
+    part = np.mod(_xxhash64(rid, seed), parts)
+    order = np.argsort(_xxhash64(rid, ~seed), kind="stable")
+    order = order[np.argsort(part[order].astype(np.uint16) if parts < 1 << 16 else part[order], kind="stable")]
+    new = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0])
+    before = np.r_[0, order[:-1]]
+    before[new] = order[np.r_[new[1:], len(order)] - 1]
+    other = np.empty(len(rid), np.int64)
+    other[order] = before
+    return other
 
 
 def _nodes(group: np.ndarray, bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, tree: int, level: int) -> np.ndarray:
@@ -268,7 +303,7 @@ def selection_records(ranks: DataFrame, group: str, run_date: Column | None = No
 
 
 def random_blocks(df: DataFrame, features: Sequence[str], target: str, ids: Sequence[str], bins: int = BINS) -> DataFrame:
-    """Stored grp, block, chunk, y, b: rows, all of group 0, dealt to blocks by a hash of their ids, a block in one row.
+    """Stored grp, block, chunk, y, b, and rid without a value: rows, all of group 0, dealt to blocks by a hash of their ids, a block in one row.
 
     ``y`` holds the targets less their mean as doubles, ``b`` a byte for each feature of each row: its bin; NULL is a bin of
     its own, NaN is in the last.
@@ -295,13 +330,13 @@ def random_blocks(df: DataFrame, features: Sequence[str], target: str, ids: Sequ
     rows = df.select(F.xxhash64(*ids).alias("rid"), (F.col(target).cast("double") - mean).alias("y"), *[
         F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]).mapInArrow(place, "rid long, y double, b binary")
     number = F.pmod(F.xxhash64("rid", F.lit(7)), F.lit(-(-n // BLOCK_ROWS)))
-    return _stored_blocks(rows.select(F.lit(0).cast("long").alias("grp"), number.alias("block"), "y", "b", "rid"), n)
+    return _stored_blocks(rows.select(F.lit(0).cast("long").alias("grp"), number.alias("block"), "y", "b", "rid"), n, False)
 
 
 def grouped_blocks(rows: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Stored grp, block, chunk, y, b of the rows of ``binned``, a block of one group in one row; and the groups.
+    """Stored grp, block, chunk, y, b, rid of the rows of ``binned``, a block of one group in one row; and the groups.
 
-    Blocks are numbered through all groups; ``y`` holds the targets less their group's mean.
+    Draws follow the ids, so a group that fits a block gets those of ``with_shadows`` and ``splits``. Blocks are numbered through all groups; ``y`` holds the targets less their group's mean.
     """
     found = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean")).orderBy("grp").collect()  # one row a group
     parts = [-(-r["n"] // BLOCK_ROWS) for r in found]
@@ -309,10 +344,10 @@ def grouped_blocks(rows: DataFrame) -> tuple[DataFrame, list[int]]:
         [(r["grp"], r["mean"], p, sum_ - p) for r, p, sum_ in zip(found, parts, accumulate(parts))], "grp long, _mean double, _parts long, _first long")
     number = F.col("_first") + F.pmod(F.xxhash64("rid", F.lit(7)), F.col("_parts"))
     dealt = rows.join(sizes, "grp").select("grp", number.alias("block"), (F.col("y") - F.col("_mean")).alias("y"), "b", "rid")
-    return _stored_blocks(dealt, sum(r["n"] for r in found)), [r["grp"] for r in found]
+    return _stored_blocks(dealt, sum(r["n"] for r in found), True), [r["grp"] for r in found]
 
 
-def _stored_blocks(dealt: DataFrame, n: int) -> DataFrame:
+def _stored_blocks(dealt: DataFrame, n: int, ids: bool) -> DataFrame:
     """The n rows grp, block, y, b, rid as one row a block; one of more than twice its rows (equal ids) is cut into chunks."""
     most = 2 * BLOCK_ROWS
 
@@ -320,9 +355,10 @@ def _stored_blocks(dealt: DataFrame, n: int) -> DataFrame:
         own, chunk, held, size = None, 0, [], 0
 
         def done() -> pa.RecordBatch:
-            y, b = (b"".join(x) for x in zip(*held))
+            y, b, rid = (b"".join(x) for x in zip(*held))
             return pa.RecordBatch.from_arrays([pa.array([own[0]], pa.int64()), pa.array([own[1]], pa.int64()), pa.array([chunk], pa.int32()),
-                                               pa.array([y], pa.binary()), pa.array([b], pa.binary())], ["grp", "block", "chunk", "y", "b"])
+                                               *(pa.array([x], pa.binary()) for x in (y, b, rid if ids else None))],
+                                              ["grp", "block", "chunk", "y", "b", "rid"])
 
         for batch in batches:
             grp, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -340,14 +376,14 @@ def _stored_blocks(dealt: DataFrame, n: int) -> DataFrame:
                         packed = b.buffers()[2][int(ends[0]):int(ends[-1])].to_pybytes()
                     else:
                         packed = b.flatten().to_numpy().tobytes()
-                    held.append((y.tobytes(), packed))
+                    held.append((y.tobytes(), packed, batch.column(4).slice(lo, end - lo).to_numpy().tobytes() if ids else b""))
                     lo, size = end, size + end - lo
         if held:
             yield done()
 
     spread = (dealt.repartition(parts_for(dealt.sparkSession, n) or 1, "block").sortWithinPartitions("block", "rid", "y", "b")
-              .select("grp", "block", "y", "b"))
-    return reliable_checkpoint(spread.mapInArrow(gather, "grp long, block long, chunk int, y binary, b binary"), "blocks")
+              .select("grp", "block", "y", "b", "rid"))
+    return reliable_checkpoint(spread.mapInArrow(gather, "grp long, block long, chunk int, y binary, b binary, rid binary"), "blocks")
 
 
 #: Weight of each of 65536 equally likely draws: how often a sample with replacement takes a row.
@@ -390,7 +426,7 @@ def _forests(blocks: DataFrame, names: Sequence[int], rounds: range, trees: int,
     gain = np.zeros((len(names), n, columns))
     mine = blocks.where(F.col("grp").between(names[0], names[-1]))
     share = F.explode(F.sequence(F.lit(0), F.lit(shares - 1))) if shares > 1 else F.lit(0)
-    mine = mine.select("grp", "block", "chunk", "y", "b", share.alias("share"))
+    mine = mine.select("grp", "block", "chunk", "y", "b", "rid", share.alias("share"))
     if shares > 1:
         mine = mine.repartitionById(shares, "share")
     for level in range(depth):
@@ -409,7 +445,7 @@ def _tally(sent, rounds: range, trees: int, level: int, nodes: int, width: int,
 
     A task counts every ``shares``-th tree, from the number of its share on.
     """
-    first, at_level = (1 << level) - 1, 1 << level
+    first, at_level, among = (1 << level) - 1, 1 << level, SHADOW_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, features, cuts, choice = sent.value
@@ -427,7 +463,7 @@ def _tally(sent, rounds: range, trees: int, level: int, nodes: int, width: int,
 
         for batch in batches:
             for at in range(batch.num_rows):
-                grp, block, chunk, y, b, share = (batch.column(i)[at].as_py() for i in range(6))
+                grp, block, chunk, y, b, rid, share = (batch.column(i)[at].as_py() for i in range(7))
                 group = int(np.searchsorted(names, grp))
                 if (group, share) != own:  # a task's blocks come by group
                     if own is not None:
@@ -437,13 +473,20 @@ def _tally(sent, rounds: range, trees: int, level: int, nodes: int, width: int,
                 feature, cut = features[group], cuts[group]
                 y = np.frombuffer(y)
                 b = np.frombuffer(b, np.uint8).reshape(len(y), -1)
+                rid = None if rid is None else np.frombuffer(rid, np.int64)
                 for i, r in enumerate(rounds):
-                    other = np.random.default_rng([seed, r, block, chunk]).permutation(len(y))
+                    if rid is None:
+                        other = np.random.default_rng([seed, r, block, chunk]).permutation(len(y))
+                    else:
+                        other = _shadow_rows(rid, seed + r, among)
                     both = np.concatenate([b, b[other]], axis=1)
                     bin_of, columns = both.ravel(), both.shape[1]
                     for tree in range(i * trees + (share - i * trees) % shares, (i + 1) * trees, shares):
-                        draw = np.random.default_rng([seed, r, block, chunk, tree - i * trees + 1])
-                        w = _DRAWN[draw.integers(0, 1 << 16, len(y), np.uint16)]
+                        if rid is None:
+                            draw = np.random.default_rng([seed, r, block, chunk, tree - i * trees + 1])
+                            w = _DRAWN[draw.integers(0, 1 << 16, len(y), np.uint16)]
+                        else:
+                            w = _weights(rid, tree - i * trees, seed + r)
                         live = np.flatnonzero(w)
                         w, s, row = w[live], y[live] * w[live], live * columns
                         node = np.zeros(len(live), np.int64)

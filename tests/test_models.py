@@ -291,3 +291,15 @@ def test_tasks_that_share_the_trees_grow_the_same(spark, monkeypatch):
     blocks, names = fs.grouped_blocks(fs.binned(grouped(spark), "g", ["a", "b"], "y", ["g", "i"], bins=8))
     one, many = (fs._forests(blocks, names, range(2), 5, 3, 11, 4, 2, 8, shares) for shares in (1, 4))
     assert np.allclose(one, many) and one.shape == (3, 10, 4) and (one[:2].sum(axis=2) > 0).all()
+
+
+def test_a_group_in_one_block_grows_as_its_rows_do(spark, monkeypatch):
+    monkeypatch.setattr(fs, "SHADOW_ROWS", 50)
+    rows = fs.binned(grouped(spark), "g", ["a", "b"], "y", ["g", "i"], bins=8)
+    blocks, names = fs.grouped_blocks(rows)
+    got = fs._forests(blocks, names, range(2), 3, 3, 11, 4, 4, 8, 2)
+    want = np.zeros_like(got)
+    for r in range(2):
+        for g, tree, _, f, _, x in fs.splits(fs.with_shadows(rows, 11 + r), names, 4, 3, 3, 11 + r, bins=8):
+            want[g, r * 3 + tree, f] += x
+    assert np.allclose(got, want, atol=1e-6) and (want[:2].sum(axis=2) > 0).all()
